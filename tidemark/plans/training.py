@@ -17,7 +17,7 @@ from tidemark.operators.filters import features_of
 from tidemark.operators.lookup import FeatureLookup, lookup_features, training_set
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.split import hash_split
-from tidemark.session import cut_lineage, shared_folder
+from tidemark.session import cut_lineage, use_checkpoints
 from tidemark.sources.feature_table import FeatureTable
 
 # Features fetched for a trip, and the columns kept away from its model. Fixed values.
@@ -138,7 +138,7 @@ def fit_boosted(
     lookups: Sequence[FeatureLookup] = (),
 ) -> ScoringModel:
     """Gradient-boosted regression trees; depth 5 allows 32 leaves per tree."""
-    train.sparkSession.sparkContext.setCheckpointDir(shared_folder(train.sparkSession))
+    use_checkpoints(train.sparkSession)
     trees = GBTRegressor(
         labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed, checkpointInterval=10
     )

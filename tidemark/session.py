@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def get_session(
@@ -50,14 +51,21 @@ def shared_folder(spark: SparkSession) -> str:
     A local session without the setting gets a temporary folder; a cluster session without
     it is an error, because a machine-local folder would be lost with its machine.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by the whole cluster")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_folders[context.applicationId]
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits store their intermediate state in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
