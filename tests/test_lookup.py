@@ -30,7 +30,7 @@ def search(base, features):
     return sorted(out)
 
 
-@pytest.mark.parametrize("slot", ["minute", "hour", "day"])
+@pytest.mark.parametrize("slot", [None, "minute", "hour", "day"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_direct_search(spark, slot, seed):
     rng = random.Random(seed)

@@ -165,3 +165,25 @@ def test_sensor_job_end_to_end(spark, variant):
         same = ["sensor_id", "event_time", "yyyy_mm", F.round("mean_temp_1h", 8), "last_pressure_1h", "total_records_1h"]
         assert rows(gold.select(*same), *order) == rows(expected.select(*same), *order)
     assert spark.table(f"{schema_name}.silver_sensor_data").count() > gold.count()
+
+
+def test_refresh_from_a_month_equals_a_full_rebuild(spark):
+    base, schema_name = scratch_path(spark, "job"), f"sensors_{uuid.uuid4().hex[:8]}"
+    source = scratch_path(spark, "source")
+
+    def run(month=None):
+        return streams.run_sensor_job(
+            spark, f"{base}/bronze", f"{base}/silver", f"{base}/gold", f"{base}/check", SLIDING_BATCH,
+            source=streams.file_stream(spark, source, T.StructType.fromDDL(READING)),
+            every=None, seconds=None, schema_name=schema_name, refresh_from=month,
+        )
+
+    stored(spark, source, [[(1, "2024-01-10 00:00:30", 20.0, 50.0, 1.0), (1, "2024-01-31 23:58:30", 30.0, 50.0, 2.0)]])
+    run()
+    old = {f for f in spark.table(f"{schema_name}.silver_sensor_data").inputFiles() if "2024-01" in f}
+    stored(spark, source, [[(1, "2024-02-01 00:01:30", 40.0, 50.0, 3.0), (1, "2024-03-05 10:00:00", 10.0, 50.0, 4.0)]])
+    got = rows(run("2024-02"), "event_time")
+    assert {f for f in spark.table(f"{schema_name}.silver_sensor_data").inputFiles() if "2024-01" in f} == old
+    whole = medallion.medallion(spark.table(f"{schema_name}.bronze_sensor_data"), SLIDING_BATCH)
+    columns = spark.table(f"{schema_name}.gold_sensor_features").columns
+    assert got == rows(whole.select(*columns), "event_time") and len(got) == 4

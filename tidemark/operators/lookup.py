@@ -4,14 +4,17 @@ Base rows are many and wide, and one key may own a large share of them, so they
 sorted nor gathered by key. The lookup is resolved on *instants* instead:
 
 1. the distinct ``(key, time)`` pairs asked for, collapsed before the shuffle;
-2. for each of them the time of the matching feature row: a running maximum inside
-   ``(key, slot)``, where a slot is a minute, an hour or a day, with the newest feature of
-   earlier slots carried in. A group holds at most one slot of distinct instants, and the
-   carry step at most one row per slot, however many rows the key has;
-3. the feature columns, fetched by the equality join ``(key, feature time)``;
-4. one equality join of the base rows on ``(key, time)``. A hot pair on the base side is
+2. for each of them the newest feature row so far, by one ordered pass over instants and
+   feature rows together;
+3. one equality join of the base rows on ``(key, time)``. A hot pair on the base side is
    split by adaptive skew-join handling, and Spark broadcasts the answers when their
-   measured size is under its broadcast limit.
+   size is under its broadcast limit.
+
+The ordered pass of step 2 runs per key and *slot* (a minute, an hour or a day), with the
+newest feature row of earlier slots carried in: a group then holds one slot of distinct
+instants, and the carrying step one row per slot, however many rows the key has. Where both
+sides sit on a coarse clock grid, a key has few instants anyway (35,040 a year on quarter
+hours) and ``slot=None`` saves the carrying step.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -40,7 +43,7 @@ class FeatureLookup:
     timestamp_lookup_key: str
     primary_keys: Sequence[str]
     timestamp_key: str
-    slot: str = "hour"
+    slot: str | None = "hour"
     rename: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -48,7 +51,7 @@ class FeatureLookup:
         return [self.rename.get(n, n) for n in self.feature_names]
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], ts: str, *extra: str) -> DataFrame:
+def _keyed(df: DataFrame, keys: Sequence[str], ts: str, *extra: Column) -> DataFrame:
     """Keys and time under common names, rows without either left out."""
     named = df.filter(F.col(ts).isNotNull())
     for key in keys:
@@ -56,28 +59,42 @@ def _keyed(df: DataFrame, keys: Sequence[str], ts: str, *extra: str) -> DataFram
     return named.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(ts).alias(_AT), *extra)
 
 
-def matching_times(asked: DataFrame, offered: DataFrame, keys: Sequence[str], slot: str = "hour") -> DataFrame:
-    """For each asked ``(keys, __at)`` the newest offered ``__at`` that is not later, if any."""
-    marks = (
-        asked.withColumns({_ASKED: F.lit(True), _FOUND: F.lit(None).cast(asked.schema[_AT].dataType)})
-        .unionByName(offered.withColumns({_ASKED: F.lit(False), _FOUND: F.col(_AT)}))
-        .withColumn(_SLOT, F.date_trunc(slot, F.col(_AT)))
+def newest_so_far(asked: DataFrame, offered: DataFrame, keys: Sequence[str], slot: str | None) -> DataFrame:
+    """For each asked ``(keys, __at)`` the newest offered row that is not later, if any.
+
+    ``offered`` has ``keys``, a time that is unique per key, and the struct ``__found``.
+    """
+    nothing = F.lit(None).cast(offered.schema[_FOUND].dataType)
+    marks = asked.withColumns({_FOUND: nothing, _ASKED: F.lit(True)}).unionByName(
+        offered.withColumn(_ASKED, F.lit(False))
     )
+    groups = list(keys)
+    if slot:
+        marks = marks.withColumn(_SLOT, F.date_trunc(slot, F.col(_AT)))
+        marks = marks.unionByName(_carried(marks, keys))
+        groups.append(_SLOT)
+    # The default frame of an ordered window takes in peers, so an equal time matches.
+    so_far = Window.partitionBy(*groups).orderBy(_AT)
+    return (
+        marks.withColumn(_FOUND, F.last(_FOUND, ignorenulls=True).over(so_far))
+        .filter(F.col(_ASKED) & F.col(_FOUND).isNotNull())
+        .select(*keys, _AT, f"{_FOUND}.*")
+    )
+
+
+def _carried(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each slot in use, the newest feature row of the slots before it.
+
+    It has no time of its own, which sorts it before all rows of the slot.
+    """
+    offered_at = F.when(F.col(_FOUND).isNotNull(), F.col(_AT))
     earlier = Window.partitionBy(*keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
+    return (
         marks.groupBy(*keys, _SLOT)
-        .agg(F.max(_FOUND).alias(_FOUND))
-        .withColumn(_FOUND, F.max(_FOUND).over(earlier))
+        .agg(F.max_by(_FOUND, offered_at).alias(_FOUND))
+        .withColumn(_FOUND, F.last(_FOUND, ignorenulls=True).over(earlier))
         .filter(F.col(_FOUND).isNotNull())
-        .select(*keys, F.col(_FOUND).alias(_AT), F.lit(False).alias(_ASKED), _FOUND, _SLOT)
-    )
-    # The default frame of an ordered maximum takes in peers, so an equal time matches.
-    so_far = Window.partitionBy(*keys, _SLOT).orderBy(_AT)
-    return (
-        marks.unionByName(carried)
-        .withColumn(_FOUND, F.max(_FOUND).over(so_far))
-        .filter(F.col(_ASKED) & F.col(_FOUND).isNotNull())
-        .select(*keys, _AT, _FOUND)
+        .withColumns({_AT: F.lit(None).cast(marks.schema[_AT].dataType), _ASKED: F.lit(False)})
     )
 
 
@@ -85,12 +102,9 @@ def resolve(base: DataFrame, lookup: FeatureLookup) -> DataFrame:
     """Feature values for every distinct ``(key, time)`` of ``base`` that has a match."""
     keys = [f"__k{i}" for i in range(len(lookup.lookup_key))]
     asked = _keyed(base, lookup.lookup_key, lookup.timestamp_lookup_key).distinct()
-    offered = _keyed(lookup.features, lookup.primary_keys, lookup.timestamp_key)
-    values = _keyed(lookup.features, lookup.primary_keys, lookup.timestamp_key, *lookup.feature_names)
-    for name in lookup.feature_names:
-        values = values.withColumnRenamed(name, lookup.rename.get(name, name))
-    matched = matching_times(asked, offered, keys, lookup.slot)
-    return matched.join(values.withColumnRenamed(_AT, _FOUND), [*keys, _FOUND]).drop(_FOUND)
+    found = F.struct(*[F.col(n).alias(lookup.rename.get(n, n)) for n in lookup.feature_names])
+    offered = _keyed(lookup.features, lookup.primary_keys, lookup.timestamp_key, found.alias(_FOUND))
+    return newest_so_far(asked, offered, keys, lookup.slot)
 
 
 def attach(base: DataFrame, answers: DataFrame, lookup: FeatureLookup) -> DataFrame:

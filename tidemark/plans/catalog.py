@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tidemark.plans.medallion import SLIDING_BATCH, SLIDING_STREAM, TUMBLING
 from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import sample_views as views
 from tidemark.sources import tables
-from tidemark.sources.feature_table import merge_rows, unique_rows
+from tidemark.sources.feature_table import FeatureTable, merge_rows, unique_rows
 from tidemark.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,6 +331,20 @@ def upsert_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(merge_rows(current, cut_lineage(unique_rows(incoming, keys)), keys))
 
 
+@query
+def feature_table_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, through a stored feature table: create, upsert twice, read back."""
+    trips = views.trips(spark, folder)
+    current = features.pickup_features(trips, PICKUP, "", RANGE[1])
+    name, path = f"default.pickup_{uuid.uuid4().hex}", scratch_path(spark, "table")
+    table = FeatureTable.create(spark, name, current, ["zip"], PICKUP, path)
+    table.merge(current)
+    table.merge(features.pickup_features(trips, PICKUP, RANGE[0], ""))
+    stored = tables.read_path(spark, path, schema=table.read().schema)
+    spark.sql(f"DROP TABLE {name}")  # the catalog entry only; the files stay at their path
+    return rounded(stored)
+
+
 # --- split, scoring input, labels -------------------------------------------------------
 
 

@@ -46,23 +46,29 @@ def rounded_trips(trips: DataFrame, direction: str = "up", view: str | None = No
     return rounded
 
 
+# Rounded trip times and window ends both lie on the quarter-hour grid, so the ordered pass of
+# a lookup meets few distinct instants per zip and needs no slots.
+ON_GRID = None
+
+
 def pickup_lookup(features: DataFrame, timestamp_key: str = "tpep_pickup_datetime") -> FeatureLookup:
     return FeatureLookup(
-        features, PICKUP_FEATURES, ("pickup_zip",), "rounded_pickup_datetime", ("zip",), timestamp_key
+        features, PICKUP_FEATURES, ("pickup_zip",), "rounded_pickup_datetime", ("zip",), timestamp_key, ON_GRID
     )
 
 
 def dropoff_lookup(features: DataFrame, timestamp_key: str = "tpep_dropoff_datetime") -> FeatureLookup:
     return FeatureLookup(
-        features, DROPOFF_FEATURES, ("dropoff_zip",), "rounded_dropoff_datetime", ("zip",), timestamp_key
+        features, DROPOFF_FEATURES, ("dropoff_zip",), "rounded_dropoff_datetime", ("zip",), timestamp_key, ON_GRID
     )
 
 
 def trip_lookups(spark: SparkSession, pickup_table: str, dropoff_table: str) -> list[FeatureLookup]:
     """Lookups into the two stored trip feature tables."""
+    pickup, dropoff = FeatureTable(spark, pickup_table), FeatureTable(spark, dropoff_table)
     return [
-        FeatureTable(spark, pickup_table).lookup(PICKUP_FEATURES, ["pickup_zip"], "rounded_pickup_datetime"),
-        FeatureTable(spark, dropoff_table).lookup(DROPOFF_FEATURES, ["dropoff_zip"], "rounded_dropoff_datetime"),
+        pickup.lookup(PICKUP_FEATURES, ["pickup_zip"], "rounded_pickup_datetime", ON_GRID),
+        dropoff.lookup(DROPOFF_FEATURES, ["dropoff_zip"], "rounded_dropoff_datetime", ON_GRID),
     ]
 
 

@@ -28,6 +28,11 @@ def get_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+        # Stream state on local disk instead of the heap, so that it may outgrow memory.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

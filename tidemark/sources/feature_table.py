@@ -137,7 +137,7 @@ class FeatureTable:
         feature_names: Sequence[str],
         lookup_key: Sequence[str],
         timestamp_lookup_key: str,
-        slot: str = "hour",
+        slot: str | None = "hour",
     ) -> FeatureLookup:
         """A point-in-time lookup into this table."""
         return FeatureLookup(

@@ -85,9 +85,21 @@ def spread_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
-def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = ("yyyy_mm",), fmt: str = "parquet") -> None:
-    """Replace a stored table; its schema may change."""
-    spread_for_write(df, partition_by).write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+def overwrite_path(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = ("yyyy_mm",),
+    fmt: str = "parquet",
+    only_touched: bool = False,
+) -> None:
+    """Replace a stored table; its schema may change.
+
+    With ``only_touched`` just the partitions that have rows in ``df`` are replaced.
+    """
+    writer = spread_for_write(df, partition_by).write.format(fmt).mode("overwrite").partitionBy(*partition_by)
+    if only_touched:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.save(path)
 
 
 def write_named(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:

@@ -94,15 +94,34 @@ def run_sensor_job(
     every: str | None = "12 seconds",
     seconds: int | None = 60,
     schema_name: str = "sensor_streaming",
+    refresh_from: str | None = None,
 ) -> DataFrame:
-    """Ingest readings for a while, then rebuild the silver and gold tables from the stored ones.
+    """Ingest readings for a while, then bring the silver and gold tables up to date.
 
-    Returns the registered gold table. ``source`` replaces the synthetic stream.
+    Returns the registered gold table. ``source`` replaces the synthetic stream. By default
+    both tables are rebuilt from all stored readings; ``refresh_from`` ("YYYY-MM") rebuilds
+    only that month and the later ones, from the readings those months need.
     """
     readings = rate_readings(spark, variant) if source is None else source
     run_bounded(append_sink(layers.bronze(readings, variant), bronze_path, f"{checkpoint_base}/bronze", every), seconds)
     bronze = register_path(spark, f"{schema_name}.bronze_sensor_data", bronze_path)
-    overwrite_path(layers.silver(bronze, variant), silver_path)
+    silver = layers.silver(_since(bronze, refresh_from, "5 MINUTES"), variant)
+    _store_layer(silver, silver_path, refresh_from)
     silver = register_path(spark, f"{schema_name}.silver_sensor_data", silver_path)
-    overwrite_path(layers.gold(silver, variant), gold_path)
+    gold = layers.gold(_since(silver, refresh_from, "1 HOUR"), variant)
+    _store_layer(gold, gold_path, refresh_from)
     return register_path(spark, f"{schema_name}.gold_sensor_features", gold_path)
+
+
+def _since(rows: DataFrame, month: str | None, reach: str) -> DataFrame:
+    """Rows that can lie in a window ending in ``month`` or later; ``reach`` is the window size."""
+    if month is None:
+        return rows
+    return rows.filter(F.col("event_time") >= F.lit(f"{month}-01").cast("timestamp") - F.expr(f"INTERVAL {reach}"))
+
+
+def _store_layer(rows: DataFrame, path: str, month: str | None) -> None:
+    if month is None:
+        overwrite_path(rows, path)
+    else:
+        overwrite_path(rows.filter(F.col("yyyy_mm") >= month), path, only_touched=True)
