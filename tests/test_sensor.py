@@ -122,6 +122,17 @@ def test_late_rows_are_left_out(spark):
     assert run() == [(datetime(2024, 1, 1, 0, 5), 1), (datetime(2024, 1, 1, 1, 5), 1)]
 
 
+def test_rules_are_counted_on_a_stream(spark):
+    source, out = scratch_path(spark, "source"), scratch_path(spark, "out")
+    stored(spark, source, [[(1, "2024-01-01 00:01:00", 20.0, 50.0, 1.0), (0, "2024-01-01 00:02:00", 20.0, 50.0, 1.0)]])
+    stream = quality.expect(streams.stored_stream(spark, source), quality.BRONZE_RULES, "bronze_rules")
+    query = streams.append_sink(stream, f"{out}/rows", f"{out}/check")
+    streams.run_bounded(query)
+    counts = [p.observedMetrics["bronze_rules"] for p in query.recentProgress if p.observedMetrics]
+    assert counts[0].asDict() == {"checked": 2, "failed_valid_event_time": 0, "failed_valid_sensor_id": 1}
+    assert spark.read.parquet(f"{out}/rows").count() == 1
+
+
 def test_json_stream_rescues_broken_lines(spark, tmp_path):
     lines = [json.dumps({"sensor_id": 1, "temperature": 2.5}), '{"sensor_id": ', json.dumps({"sensor_id": "x"})]
     (tmp_path / "a.json").write_text("\n".join(lines))

@@ -151,8 +151,21 @@ def test_path_overwrite_may_change_the_schema(spark):
     back = tables.read_path(spark, path)
     assert back.count() == 1 and "extra" in back.columns
     assert back.schema["yyyy_mm"].dataType.simpleString() == "string"
-    registered = tables.register_path(spark, name("over"), path)
-    assert registered.count() == 1
+    target = name("over")
+    assert tables.register_path(spark, target, path).count() == 1
+    tables.overwrite_path(df.withColumn("other", F.lit("x")), path)
+    again = tables.register_path(spark, target, path)
+    assert "other" in again.columns and "extra" not in again.columns and again.count() == 1
+
+
+def test_registering_spares_tables_of_their_own(spark):
+    from tidemark.session import scratch_path
+
+    target, path = name("own"), scratch_path(spark, "files")
+    tables.create_empty_table(spark, target)
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="table of its own"):
+        tables.register_path(spark, target, path)
 
 
 def test_named_tables(spark):

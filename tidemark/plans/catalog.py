@@ -267,46 +267,39 @@ def expect_keep(spark: SparkSession, folder: str) -> DataFrame:
 # --- point-in-time lookup ---------------------------------------------------------------
 
 
-def _stored_pickup(spark: SparkSession, folder: str) -> DataFrame:
-    """Feature tables are stored before they are looked up in, as a feature job does."""
-    return cut_lineage(features.pickup_features(views.trips(spark, folder), PICKUP), "pickup")
-
-
-def _stored_dropoff(spark: SparkSession, folder: str) -> DataFrame:
-    return cut_lineage(features.dropoff_features(views.trips(spark, folder), DROPOFF), "dropoff")
+def _lookups(spark: SparkSession, folder: str) -> list[lookup.FeatureLookup]:
+    """Lookups on the clock grid read their features once, so these are not stored before."""
+    trips = views.trips(spark, folder)
+    return [
+        training.pickup_lookup(features.pickup_features(trips, PICKUP), PICKUP),
+        training.dropoff_lookup(features.dropoff_features(trips, DROPOFF), DROPOFF),
+    ]
 
 
 @query
 def lookup_pickup(spark: SparkSession, folder: str) -> DataFrame:
     trips = training.rounded_trips(views.trips(spark, folder)).select("trip_id", "pickup_zip", "rounded_pickup_datetime")
-    found = training.pickup_lookup(_stored_pickup(spark, folder), PICKUP)
-    return rounded(lookup.lookup_features(trips, [found]))
+    return rounded(lookup.lookup_features(trips, _lookups(spark, folder)[:1]))
 
 
 @query
 def lookup_dropoff(spark: SparkSession, folder: str) -> DataFrame:
     trips = training.rounded_trips(views.trips(spark, folder)).select("trip_id", "dropoff_zip", "rounded_dropoff_datetime")
-    found = training.dropoff_lookup(_stored_dropoff(spark, folder), DROPOFF)
-    return rounded(lookup.lookup_features(trips, [found]))
+    return rounded(lookup.lookup_features(trips, _lookups(spark, folder)[1:]))
 
 
 @query
 def lookup_exact_times(spark: SparkSession, folder: str) -> DataFrame:
-    """Unrounded lookup times: almost every instant is distinct."""
-    trips = views.trips(spark, folder).select("trip_id", "pickup_zip", PICKUP)
+    """Unrounded lookup times: almost every instant is distinct. Slots read the features twice."""
+    trips = views.trips(spark, folder)
+    stored = cut_lineage(features.pickup_features(trips, PICKUP), "pickup")
+    trips = trips.select("trip_id", "pickup_zip", PICKUP)
     found = lookup.FeatureLookup(
-        _stored_pickup(spark, folder), training.PICKUP_FEATURES, ("pickup_zip",), PICKUP, ("zip",), PICKUP
+        stored, training.PICKUP_FEATURES, ("pickup_zip",), PICKUP, ("zip",), PICKUP
     )
     return rounded(lookup.lookup_features(trips, [found]))
 
 
-def _lookups(spark: SparkSession, folder: str) -> list[lookup.FeatureLookup]:
-    return [
-        training.pickup_lookup(_stored_pickup(spark, folder), PICKUP),
-        training.dropoff_lookup(_stored_dropoff(spark, folder), DROPOFF),
-    ]
-
-
 @query
 def training_set(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(training.trip_training_set(views.trips(spark, folder), _lookups(spark, folder)))

@@ -69,10 +69,21 @@ def create_empty_table(spark: SparkSession, name: str, schema: T.StructType = PR
 
 
 def register_path(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Give stored Parquet files a table name, and make the catalog see their partitions."""
+    """Give stored Parquet files a table name, and make the catalog see their partitions.
+
+    An earlier registration whose columns no longer fit the files is replaced; only the
+    catalog entry is dropped, never files.
+    """
     ensure_namespace(spark, name)
+    if spark.catalog.tableExists(name):
+        stored = spark.read.parquet(path).schema
+        fits = {(f.name, f.dataType) for f in stored} == {(f.name, f.dataType) for f in spark.table(name).schema}
+        if not fits:
+            if spark.catalog.getTable(name).tableType != "EXTERNAL":
+                raise ValueError(f"{name} is a table of its own, not a name for {path}")
+            spark.sql(f"DROP TABLE {table_ident(name)}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table_ident(name)} USING PARQUET LOCATION '{path}'")
-    if spark.catalog.listColumns(name) and any(c.isPartition for c in spark.catalog.listColumns(name)):
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {table_ident(name)}")
     spark.catalog.refreshTable(name)
     return spark.table(name)
