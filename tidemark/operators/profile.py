@@ -138,10 +138,8 @@ def is_violated(check: DataFrame) -> bool:
 
 def _bucket(column: str, edges: Sequence[float]) -> Column:
     """Number of edges at or below the value: 0 under the first, ``len(edges)`` from the last on."""
-    bucket = F.when(F.col(column).isNull(), None)
-    for i, edge in enumerate(edges):
-        bucket = bucket.when(F.col(column) < edge, i)
-    return bucket.otherwise(len(edges)).cast("int")
+    cases = " ".join(f"WHEN `{column}` < {float(edge)!r}D THEN {i}" for i, edge in enumerate(edges))
+    return F.expr(f"CASE WHEN `{column}` IS NULL THEN NULL {cases} ELSE {len(edges)} END")
 
 
 def drift(
@@ -151,7 +149,7 @@ def drift(
     edges: Sequence[float],
     baseline_end: str,
     granularity: str = "1 day",
-    median: float = 0.5,
+    fraction: float = 0.5,
 ) -> DataFrame:
     """Per window: rows, nulls, mean, a percentile and the population stability index.
 
@@ -159,57 +157,48 @@ def drift(
     ``baseline_end``: sum of (share - base) * ln(share / base), where each share is smoothed
     by half a row per bucket. The percentile is read from the buckets, linear inside one, and
     is the nearest edge in the open end buckets. Everything is derived from one aggregate of
-    the rows to ``windows x buckets`` counts.
+    the rows to one line of bucket counts per window.
     """
-    buckets = len(edges) + 1
-    counts = df.groupBy(F.window(ts, granularity), _bucket(column, edges).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(column).alias("total")
+    cells = range(len(edges) + 1)
+    placed = df.select(F.window(ts, granularity), F.col(column), _bucket(column, edges).alias("bucket"))
+    wide = placed.groupBy("window").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(column).isNull()).alias("nulls"),
+        F.avg(column).alias("mean"),
+        *[F.expr(f"count_if(bucket = {i}) AS n{i}") for i in cells],
     )
-    cells = [F.sum(F.when(F.col("bucket") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(buckets)]
-    wide = counts.groupBy("window").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("bucket").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-        F.sum("total").alias("total"),
-        *cells,
+    # Totals before the baseline's end; this runs over one line per window, not over rows.
+    before = f"window.end <= '{baseline_end}'"
+    totals = wide.select("*", *[F.expr(f"sum(IF({before}, n{i}, 0)) OVER () AS b{i}") for i in cells])
+    sums = totals.selectExpr(
+        "*",
+        "rows - nulls AS present",
+        " + ".join(f"b{i}" for i in cells) + " AS base",
+        *[" + ".join(f"n{j}" for j in range(i + 1)) + f" AS upto{i}" for i in cells],
     )
-    before = F.col("window.end") <= F.lit(baseline_end)
-    all_rows = Window.partitionBy()
-    base = {i: F.sum(F.when(before, F.col(f"n{i}")).otherwise(0)).over(all_rows) for i in range(buckets)}
-    wide = wide.withColumns({f"b{i}": c for i, c in base.items()})
-
-    def share(prefix: str, i: int) -> Column:
-        whole = sum((F.col(f"{prefix}{j}") for j in range(1, buckets)), F.col(f"{prefix}0"))
-        return (F.col(f"{prefix}{i}") + F.lit(0.5)) / (whole + F.lit(0.5 * buckets))
-
-    psi = F.lit(0.0)
-    for i in range(buckets):
-        psi = psi + (share("n", i) - share("b", i)) * F.log(share("n", i) / share("b", i))
-    present = F.col("rows") - F.col("nulls")
-    return wide.select(
+    smooth = f"{0.5 * len(cells)!r}D"
+    shares = sums.selectExpr(
+        "*",
+        *[f"(n{i} + 0.5D) / (present + {smooth}) AS p{i}" for i in cells],
+        *[f"(b{i} + 0.5D) / (base + {smooth}) AS q{i}" for i in cells],
+    )
+    index = " + ".join(f"(p{i} - q{i}) * ln(p{i} / q{i})" for i in cells)
+    return shares.selectExpr(
         "window",
         "rows",
         "nulls",
-        F.try_divide(F.col("total"), present).alias("mean"),
-        _bucket_percentile(edges, median, present).alias("percentile"),
-        psi.alias("stability_index"),
+        "mean",
+        f"{_bucket_percentile(edges, fraction)} AS percentile",
+        f"{index} AS stability_index",
     )
 
 
-def _bucket_percentile(edges: Sequence[float], fraction: float, present: Column) -> Column:
-    """Linear position of the ``fraction`` rank inside the bucket that contains it."""
-    rank = present * F.lit(fraction)
-    seen = F.lit(0).cast("long")
-    out = F.when(present == 0, F.lit(None).cast("double"))
+def _bucket_percentile(edges: Sequence[float], fraction: float) -> str:
+    """SQL for the linear position of the ``fraction`` rank inside the bucket that contains it."""
+    rank = f"present * {float(fraction)!r}D"
+    cases = []
     for i in range(len(edges) + 1):
-        n = F.col(f"n{i}")
-        reached = seen + n
-        if i == 0:
-            value = F.lit(float(edges[0]))
-        elif i == len(edges):
-            value = F.lit(float(edges[-1]))
-        else:
-            width = float(edges[i] - edges[i - 1])
-            value = F.lit(float(edges[i - 1])) + F.try_divide(rank - seen, n) * F.lit(width)
-        out = out.when((n > 0) & (rank <= reached), value)
-        seen = reached
-    return out
+        low, high = float(edges[max(i - 1, 0)]), float(edges[min(i, len(edges) - 1)])
+        place = f"{low!r}D + ({rank} - (upto{i} - n{i})) / n{i} * {high - low!r}D"
+        cases.append(f"WHEN n{i} > 0 AND {rank} <= upto{i} THEN {place}")
+    return f"CASE {' '.join(cases)} END"

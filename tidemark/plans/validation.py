@@ -67,19 +67,26 @@ def validate_predictions(
         return ValidationResult(None, None, None)
     custom = find_plugin(METRIC_SETS, custom_metrics)
     limits = find_plugin(THRESHOLD_SETS, thresholds)
-    metrics = regression_metrics(scored, "prediction", target, custom=custom)
+    metrics = _once(regression_metrics(scored, "prediction", target, custom=custom))
     if not limits:
         return ValidationResult(metrics, None, True)
     checks = check_thresholds(metrics, limits)
     failed = [r["metric"] for r in checks.filter("NOT passed").collect()]  # at most one row per limit
     if baseline is not None:
-        changes = baseline_changes(metrics, regression_metrics(baseline, "prediction", target, custom=custom), limits)
+        changes = baseline_changes(
+            metrics, _once(regression_metrics(baseline, "prediction", target, custom=custom)), limits
+        )
         failed += [f"{r['metric']} against baseline" for r in changes.filter("NOT passed").collect()]
     if failed and run_mode == "enabled":
         raise ValidationFailed(f"limits missed: {', '.join(sorted(failed))}")
     return ValidationResult(metrics, checks, not failed)
 
 
+def _once(metrics: DataFrame) -> DataFrame:
+    """Compute a one-row frame now, so that its uses do not score the input again."""
+    return metrics.sparkSession.createDataFrame([metrics.first()], metrics.schema)
+
+
 def baseline_changes(
     candidate: DataFrame, baseline: DataFrame, thresholds: Mapping[str, Threshold]
 ) -> DataFrame:
