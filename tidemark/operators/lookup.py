@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,10 +54,9 @@ class FeatureLookup:
 
 def _keyed(df: DataFrame, keys: Sequence[str], ts: str, *extra: Column) -> DataFrame:
     """Keys and time under common names, rows without either left out."""
-    named = df.filter(F.col(ts).isNotNull())
-    for key in keys:
-        named = named.filter(F.col(key).isNotNull())
-    return named.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(ts).alias(_AT), *extra)
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (ts, *keys)])
+    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    return df.filter(present).select(*named, F.col(ts).alias(_AT), *extra)
 
 
 def newest_so_far(asked: DataFrame, offered: DataFrame, keys: Sequence[str], slot: str | None) -> DataFrame:

@@ -32,7 +32,7 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, shift: float = 0.0) -> DataFrame:
     """Doubles at a fixed number of digits; floats widened first."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     out: list[Column] = []
@@ -41,13 +41,18 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(kind, T.FloatType):
             c = F.round(c.cast("double"), 3)
         elif isinstance(kind, T.DoubleType):
-            c = F.round(c, digits)
+            c = F.round(c + F.lit(shift) if shift else c, digits)
         elif isinstance(kind, T.TimestampType):
             c = c.cast("timestamp_ntz")
         out.append(c.alias(name))
     return df.select(*out)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Eight digits, shifted off the rounding ties that means of cents end in."""
+    return rounded(df, 8, 1.3e-10)
+
+
 # --- scans and inputs -------------------------------------------------------------------
 
 
@@ -98,7 +103,7 @@ def plausibility_wide(spark: SparkSession, folder: str) -> DataFrame:
 def drop_null_rows(spark: SparkSession, folder: str) -> DataFrame:
     # Hours with one 5-minute row have no deviation and drop out.
     gold = medallion.medallion(views.readings(spark, folder), TUMBLING).drop("forecast_feature")
-    return rounded(gold.na.drop(), 8)
+    return settled(gold.na.drop())
 
 
 @query
@@ -211,22 +216,22 @@ def bronze_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def silver_sliding(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(medallion.silver(views.readings(spark, folder), SLIDING_BATCH), 8)
+    return settled(medallion.silver(views.readings(spark, folder), SLIDING_BATCH))
 
 
 @query
 def silver_tumbling(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(medallion.silver(views.readings(spark, folder), TUMBLING), 8)
+    return settled(medallion.silver(views.readings(spark, folder), TUMBLING))
 
 
 @query
 def gold_sliding(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(medallion.medallion(views.readings(spark, folder), SLIDING_BATCH), 8)
+    return settled(medallion.medallion(views.readings(spark, folder), SLIDING_BATCH))
 
 
 @query
 def gold_tumbling(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(medallion.medallion(views.readings(spark, folder), TUMBLING).drop("forecast_feature"), 8)
+    return settled(medallion.medallion(views.readings(spark, folder), TUMBLING).drop("forecast_feature"))
 
 
 @query
@@ -243,7 +248,7 @@ def gold_from_stored_silver(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "silver")
     tables.overwrite_path(medallion.silver(views.readings(spark, folder), TUMBLING), path)
     silver = spark.read.option("basePath", path).parquet(path)
-    return rounded(medallion.gold(silver, TUMBLING).drop("forecast_feature"), 8)
+    return settled(medallion.gold(silver, TUMBLING).drop("forecast_feature"))
 
 
 # --- quality rules ----------------------------------------------------------------------
@@ -484,4 +489,4 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
 def stream_silver_closed(spark: SparkSession, folder: str) -> DataFrame:
     """The windows a stream has closed: those that end at or before the watermark."""
     stream = streams.silver_stream(_readings_stream(spark, folder), SLIDING_STREAM, "10 minutes")
-    return rounded(_run_to_end(spark, stream, "silver"), 8)
+    return settled(_run_to_end(spark, stream, "silver"))

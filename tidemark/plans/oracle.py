@@ -186,9 +186,9 @@ TUMBLING = silver(
 
 
 def silver_rows(count: str) -> str:
-    return f"""SELECT sensor_id, event_time, yyyy_mm, round(avg_temp_5m, 8) AS avg_temp_5m,
-       round(avg_humidity_5m, 8) AS avg_humidity_5m, round(min_pressure_5m, 8) AS min_pressure_5m,
-       round(max_pressure_5m, 8) AS max_pressure_5m, {count} FROM silver"""
+    return f"""SELECT sensor_id, event_time, yyyy_mm, round(avg_temp_5m + 1.3e-10, 8) AS avg_temp_5m,
+       round(avg_humidity_5m + 1.3e-10, 8) AS avg_humidity_5m, round(min_pressure_5m + 1.3e-10, 8) AS min_pressure_5m,
+       round(max_pressure_5m + 1.3e-10, 8) AS max_pressure_5m, {count} FROM silver"""
 
 
 def gold(count: str) -> str:
@@ -201,9 +201,9 @@ def gold(count: str) -> str:
   GROUP BY sensor_id, window_end)"""
 
 
-GOLD_COLUMNS = """sensor_id, event_time, yyyy_mm, round(mean_temp_1h, 8) AS mean_temp_1h,
-       round(std_temp_1h, 8) AS std_temp_1h, round(mean_humidity_1h, 8) AS mean_humidity_1h,
-       round(last_pressure_1h, 8) AS last_pressure_1h, total_records_1h"""
+GOLD_COLUMNS = """sensor_id, event_time, yyyy_mm, round(mean_temp_1h + 1.3e-10, 8) AS mean_temp_1h,
+       round(std_temp_1h + 1.3e-10, 8) AS std_temp_1h, round(mean_humidity_1h + 1.3e-10, 8) AS mean_humidity_1h,
+       round(last_pressure_1h + 1.3e-10, 8) AS last_pressure_1h, total_records_1h"""
 FORECAST = "mean_temp_1h + (epoch_us(event_time) // 1000000) * 1.0::DOUBLE"
 
 SQL["bronze_rules"] = f"""WITH {READINGS}

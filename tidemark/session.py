@@ -19,6 +19,7 @@ def get_session(
 ) -> SparkSession:
     """Build (or fetch) a session: zone UTC, adaptive execution and skew-join splitting on.
 
+    Give ``master`` for a local run; without it the session is for a cluster.
     Leave ``shuffle_partitions`` unset on a cluster, where the cluster's own setting should
     rule and adaptive execution merges small partitions; pass the core count in local runs.
     """
@@ -28,14 +29,15 @@ def get_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    )
+    if master:
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+    else:
         # Stream state on local disk instead of the heap, so that it may outgrow memory.
-        .config(
+        builder = builder.config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
-    )
-    if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in settings.items():
