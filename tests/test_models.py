@@ -60,6 +60,23 @@ def test_baseline_comparison(spark, scored):
         validation.validate_predictions(scored, "target", thresholds="improve", baseline=scored)
 
 
+def test_changes_against_a_baseline(spark):
+    frame = spark.createDataFrame(
+        [("new", 8.0, 0.5, 0.0), ("old", 10.0, 0.5, 0.0)], "model_id string, mse double, r2 double, zero double"
+    )
+
+    def passed(**threshold):
+        metric = threshold.pop("metric")
+        rows_ = metrics.compare_models(frame, {metric: Threshold(**threshold)}, "new", "old").collect()
+        return rows_[0]["passed"]
+
+    assert passed(metric="mse") and passed(metric="mse", min_absolute_change=2.0)
+    assert not passed(metric="mse", min_absolute_change=2.1)
+    assert passed(metric="mse", min_relative_change=0.2) and not passed(metric="mse", min_relative_change=0.21)
+    assert not passed(metric="r2", greater_is_better=True, min_absolute_change=0.01)
+    assert not passed(metric="zero", min_relative_change=0.01)
+
+
 def test_profile_all_models_row_equals_direct_metrics(spark):
     preds = views.predictions(spark, SMALL)
     got = profile.error_profile(preds).filter("model_id = '*'")
@@ -132,6 +149,8 @@ def test_split_is_complete_and_repeatable(spark):
     train, test = split.hash_split(df, "id", 75, 123)
     assert train.count() + test.count() == 5000 and train.join(test, "id").isEmpty()
     assert 0.7 < train.count() / 5000 < 0.8
+    no_key = spark.sql("SELECT CAST(NULL AS BIGINT) AS id")
+    assert [part.count() for part in split.hash_split(no_key, "id")] == [1, 0]
     again, _ = split.hash_split(df.repartition(7), "id", 75, 123)
     assert again.exceptAll(train).isEmpty()
 
@@ -173,6 +192,14 @@ def test_trip_model_from_stored_features_to_predictions(spark):
     scoring.predict_batch(spark, model, f"{base}.scoring_input", f"{base}.predictions", 8, "2024-02-02 11:00:00", "append")
     assert spark.table(f"{base}.predictions").count() == 2 * trips.count()
 
+    known = trips.filter("trip_id % 2 = 0")
+    labelled = scoring.label_predictions(spark, f"{base}.predictions", known, ["trip_id"], f"{base}.labelled")
+    assert labelled.filter("fare_amount IS NOT NULL").count() == 2 * known.count()
+    profiled = monitoring.refresh_profile(spark, f"{base}.labelled")
+    days = {(r["window"].start.day, r["model_id"]) for r in spark.table(profiled).collect()}
+    assert days == {(1, "7"), (2, "8"), (1, "*"), (2, "*")}
+    assert monitoring.must_retrain(spark, f"{base}.labelled", threshold=0.0) is True
+
     tables.as_view(trips, "validation_trips")
     result = validation.validate_trip_model(spark, model, "SELECT * FROM validation_trips", run_mode="dry_run")
     assert result.metrics.first()["example_count"] == trips.count()

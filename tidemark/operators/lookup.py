@@ -136,5 +136,8 @@ def training_set(
 
 
 def join_labels(predictions: DataFrame, labels: DataFrame, on: Sequence[str], label: str) -> DataFrame:
-    """Attach ground truth to predictions; a prediction without a label keeps a null."""
+    """Attach ground truth to predictions; a prediction without a label keeps a null.
+
+    ``labels`` must have one row per key.
+    """
     return predictions.drop(label).join(labels.select(*on, label), list(on), "left")

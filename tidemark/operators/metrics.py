@@ -118,8 +118,8 @@ def compare_models(
 ) -> DataFrame:
     """One row per metric: candidate and baseline values, the change and whether it is enough.
 
-    ``metrics`` has one row per model. The change counts improvement as positive. Without a
-    required change the candidate may not be worse.
+    ``metrics`` has one row per model. The change counts improvement as positive. A metric
+    without a required change passes; over a baseline of zero any improvement is enough.
     """
     picked = metrics.filter(F.col(model_column).isin(candidate, baseline))
     pairs = (
@@ -133,13 +133,12 @@ def compare_models(
     new, old = F.col("candidate"), F.col("baseline")
     gain = F.when(F.col("greater_is_better"), new - old).otherwise(old - new)
     relative = F.try_divide(gain, F.abs(old))
-    enough = (
-        F.when(F.col("min_absolute_change").isNotNull(), gain >= F.col("min_absolute_change"))
-        .otherwise(gain >= 0)
-    ) & (
-        F.when(F.col("min_relative_change").isNull(), True)
+    absolute_change, relative_change = F.col("min_absolute_change"), F.col("min_relative_change")
+    enough_absolute = F.when(absolute_change.isNull(), True).otherwise(gain >= absolute_change)
+    enough_relative = (
+        F.when(relative_change.isNull(), True)
         .when(old == 0, gain >= F.lit(1e-10))
-        .otherwise(relative >= F.col("min_relative_change"))
+        .otherwise(relative >= relative_change)
     )
     return pairs.join(_threshold_rows(metrics, thresholds), "metric").select(
         "metric",
@@ -147,5 +146,5 @@ def compare_models(
         "baseline",
         gain.alias("absolute_change"),
         relative.alias("relative_change"),
-        F.coalesce(enough, F.lit(False)).alias("passed"),
+        F.coalesce(enough_absolute & enough_relative, F.lit(False)).alias("passed"),
     )

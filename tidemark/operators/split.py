@@ -9,10 +9,11 @@ from tidemark.functions.hashing import hash_bucket
 
 
 def is_train(key: Column, train_percent: int = 75, seed: int = 123) -> Column:
-    return hash_bucket(key, 100, seed) < train_percent
+    """Whether a row belongs to the training part; rows without a key do."""
+    return F.coalesce(hash_bucket(key, 100, seed) < train_percent, F.lit(True))
 
 
 def hash_split(df: DataFrame, key: str, train_percent: int = 75, seed: int = 123) -> tuple[DataFrame, DataFrame]:
-    """Two frames that together hold every row with a key exactly once."""
+    """Two frames that together hold every row exactly once."""
     chosen = is_train(F.col(key), train_percent, seed)
     return df.filter(chosen), df.filter(~chosen)

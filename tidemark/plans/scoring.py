@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.filters import stamp
+from tidemark.operators.lookup import join_labels
 from tidemark.plans.training import TRIP_LABEL, ScoringModel, rounded_trips
 from tidemark.sources.tables import read_table, write_named
 
@@ -32,3 +35,16 @@ def predict_batch(
     scored = stamp(model.score(read_table(spark, input_table)), model_version, run_time)
     write_named(scored, output_table, mode)
     return spark.table(output_table)
+
+
+def label_predictions(
+    spark: SparkSession,
+    predictions_table: str,
+    labels: DataFrame,
+    on: Sequence[str],
+    output_table: str,
+    label: str = TRIP_LABEL,
+) -> DataFrame:
+    """Store predictions with the ground truth that has come in, as monitoring needs them."""
+    write_named(join_labels(read_table(spark, predictions_table), labels, on, label), output_table)
+    return spark.table(output_table)

@@ -99,12 +99,12 @@ class ScoringModel:
         lookups = [
             {
                 "table": table,
-                "feature_names": list(l.feature_names),
-                "lookup_key": list(l.lookup_key),
-                "timestamp_lookup_key": l.timestamp_lookup_key,
-                "slot": l.slot,
+                "feature_names": list(lookup.feature_names),
+                "lookup_key": list(lookup.lookup_key),
+                "timestamp_lookup_key": lookup.timestamp_lookup_key,
+                "slot": lookup.slot,
             }
-            for table, l in zip(lookup_tables, self.lookups, strict=True)
+            for table, lookup in zip(lookup_tables, self.lookups, strict=True)
         ]
         about = json.dumps({"inputs": list(self.inputs), "label": self.label, "lookups": lookups})
         spark.createDataFrame([(about,)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
@@ -112,12 +112,7 @@ class ScoringModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ScoringModel:
         about = json.loads(spark.read.text(f"{path}/about").first()[0])
-        lookups = [
-            FeatureTable(spark, l["table"]).lookup(
-                l["feature_names"], l["lookup_key"], l["timestamp_lookup_key"], l["slot"]
-            )
-            for l in about["lookups"]
-        ]
+        lookups = [FeatureTable(spark, saved.pop("table")).lookup(**saved) for saved in about["lookups"]]
         return cls(PipelineModel.load(f"{path}/model"), about["inputs"], about["label"], lookups)
 
 
