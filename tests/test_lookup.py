@@ -75,6 +75,22 @@ def test_chain_with_rename_keeps_every_row(spark):
     assert got.count() == 50 and got.filter("NOT (a <=> a2 AND b <=> b2)").isEmpty()
 
 
+def test_composite_key(spark):
+    base = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "x", 3)], "k int, region string, id int")
+    base = base.withColumn("t", F.lit("2024-01-01 12:00:00").cast("timestamp"))
+    features = spark.createDataFrame([(1, "x", 5.0), (2, "y", 6.0)], "zip int, area string, v double")
+    features = features.withColumn("ts", F.lit("2024-01-01 10:30:00").cast("timestamp"))
+    lookup = FeatureLookup(features, ("v",), ("k", "region"), "t", ("zip", "area"), "ts")
+    got = lookup_features(base, [lookup]).select("id", "v")
+    assert rows(got, "id") == [(1, 5.0), (2, None), (3, None)]
+
+
+def test_one_feature_column_name_twice_is_refused(spark):
+    frame, lookup = make(spark, [(1, 1, START)], [(1, START, 1.0, 1)])
+    with pytest.raises(Exception, match="AMBIGUOUS|ambiguous"):
+        lookup_features(frame.withColumn("a", F.lit(0)), [lookup]).collect()
+
+
 def test_duplicate_base_rows_stay_duplicate(spark):
     frame, lookup = make(spark, [(1, 1, START)] * 5, [(1, START, 1.0, 1)])
     assert lookup_features(frame, [lookup]).count() == 5

@@ -113,20 +113,31 @@ def enforce_schema(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(filters.enforce_schema(holes))
 
 
-@query
-def rescue_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
-    # Some texts are cut short, so that they are no valid document.
-    reading = F.to_json(F.struct("sensor_id", "temperature", "humidity"))
-    broken = F.col("event_id") % 97 == 0
-    texts = views.events(spark, folder).select(
-        "event_id",
+RESCUE_SCHEMA = (
+    T.StructType()
+    .add("event_id", T.LongType())
+    .add("sensor_id", T.IntegerType())
+    .add("temperature", T.DoubleType())
+    .add("humidity", T.DoubleType())
+)
+
+
+def _json_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings as JSON texts; some are cut short, so that they are no valid document."""
+    event = F.col("event_id")
+    readings = views.events(spark, folder).select(
+        event,
         (F.col("user_id") % 50 + 1).cast("int").alias("sensor_id"),
         (F.col("value") - 10).alias("temperature"),
-        (F.col("event_id") % 100).cast("double").alias("humidity"),
+        (event % 100).cast("double").alias("humidity"),
     )
-    texts = texts.select("event_id", F.when(broken, F.lit('{"sensor_id": ')).otherwise(reading).alias("body"))
-    schema = T.StructType.fromDDL("sensor_id INT, temperature DOUBLE, humidity DOUBLE")
-    return rounded(filters.rescue_json(texts, "body", schema))
+    cut_short = F.concat(F.lit('{"event_id": '), event.cast("string"))
+    return readings.select(F.when(event % 97 == 0, cut_short).otherwise(F.to_json(F.struct("*"))).alias("body"))
+
+
+@query
+def rescue_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(filters.rescue_json(_json_rows(spark, folder), "body", RESCUE_SCHEMA))
 
 
 @query
@@ -256,7 +267,8 @@ def gold_from_stored_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def expect_report(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.report(views.readings(spark, folder), [*quality.BRONZE_RULES, *quality.SILVER_WARN_RULES, *quality.SILVER_DROP_RULES])
+    rules = [*quality.BRONZE_RULES, *quality.SILVER_WARN_RULES, *quality.SILVER_DROP_RULES]
+    return quality.report(views.readings(spark, folder), rules)
 
 
 @query
@@ -365,6 +377,13 @@ def score_prepare(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scoring.scoring_input(views.trips(spark, folder)))
 
 
+@query
+def score_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows to score with the lookups of training repeated on them."""
+    rows = scoring.scoring_input(views.trips(spark, folder))
+    return rounded(lookup.lookup_features(rows, _lookups(spark, folder)))
+
+
 @query
 def label_join(spark: SparkSession, folder: str) -> DataFrame:
     predicted = views.predictions(spark, folder).drop("fare_amount")
@@ -485,6 +504,15 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_run_to_end(spark, medallion.bronze(_readings_stream(spark, folder), TUMBLING), "bronze"))
 
 
+@query
+def stream_json_rescue(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON files as a stream, with the texts that do not fit kept in a column of their own."""
+    source = scratch_path(spark, "json")
+    _json_rows(spark, folder).write.text(source)
+    stream = streams.file_stream(spark, source, RESCUE_SCHEMA, "json", rescued=True)
+    return rounded(_run_to_end(spark, stream, "rescued"))
+
+
 @query
 def stream_silver_closed(spark: SparkSession, folder: str) -> DataFrame:
     """The windows a stream has closed: those that end at or before the watermark."""

@@ -65,11 +65,11 @@ SQL["plausibility_filter"] = f"WITH {READINGS} SELECT {READING_COLUMNS} FROM rea
 SQL["plausibility_wide"] = f"WITH {READINGS} SELECT {READING_COLUMNS} FROM readings WHERE {WIDE}"
 SQL["enforce_schema"] = f"WITH {READINGS} SELECT {READING_COLUMNS} FROM readings WHERE sensor_id <> 7"
 SQL["rescue_bad_rows"] = """
-SELECT event_id,
+SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS event_id,
        CASE WHEN event_id % 97 <> 0 THEN CAST(user_id % 50 + 1 AS INTEGER) END AS sensor_id,
        CASE WHEN event_id % 97 <> 0 THEN round(value - 10, 6) END AS temperature,
        CASE WHEN event_id % 97 <> 0 THEN CAST(event_id % 100 AS DOUBLE) END AS humidity,
-       CASE WHEN event_id % 97 = 0 THEN '{"sensor_id": ' END AS _rescued_data
+       CASE WHEN event_id % 97 = 0 THEN '{"event_id": ' || event_id END AS _rescued_data
 FROM events"""
 SQL["stamp_constants"] = f"""WITH {PREDS}
 SELECT trip_id, round(prediction, 6) AS prediction, CAST(3 AS INTEGER) AS model_id,
@@ -287,6 +287,11 @@ SELECT event_id AS trip_id,
 SQL["score_prepare"] = f"""WITH {TRIPS}, {rounded_trips()}
 SELECT trip_id, pickup_zip, dropoff_zip, round(trip_distance, 6) AS trip_distance,
        rounded_pickup_datetime, rounded_dropoff_datetime FROM rounded"""
+SQL["score_lookup"] = f"""WITH {TRIPS}, {rounded_trips()}, {FEATURES}
+SELECT t.trip_id, t.pickup_zip, t.dropoff_zip, round(t.trip_distance, 6) AS trip_distance,
+       t.rounded_pickup_datetime, t.rounded_dropoff_datetime, {PICKUP_COLUMNS}, {DROPOFF_COLUMNS}
+FROM rounded AS t {PICKUP_MATCH.format("t.rounded_pickup_datetime")}
+{DROPOFF_MATCH.format("t.rounded_dropoff_datetime")}"""
 SQL["label_join"] = f"""WITH {TRIPS}, {PREDS}
 SELECT p.trip_id, p.model_id, round(p.prediction, 6) AS prediction, p.timestamp, t.fare_amount
 FROM preds AS p LEFT JOIN trips AS t
@@ -422,6 +427,7 @@ FROM days JOIN psi ON psi.d = days.d LEFT JOIN pct ON pct.d = days.d"""
 # --- streams ----------------------------------------------------------------------------
 
 SQL["stream_bronze"] = SQL["bronze_rules"]
+SQL["stream_json_rescue"] = SQL["rescue_bad_rows"]
 SQL["stream_silver_closed"] = f"""WITH {READINGS}, {SLIDING}
 {silver_rows('count_records_5m')} WHERE event_time <=
   (SELECT max(event_time) - INTERVAL '10 minutes' FROM readings WHERE {STRICT})"""
