@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import html_text, merkle, packing, simhash, url_rules, warc
 from tidemark.llm.common import table
+from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,3 +26,52 @@ def query(fn: Query) -> Query:
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return groups.select("doc_id", simhash.hex_print("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.edited(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        merkle.print_string(F.col("root"), F.col("sketch")).alias("fingerprint"),
+        merkle.print_string(F.col("edited_root"), F.col("edited_sketch")).alias("edited_fingerprint"),
+        merkle.likeness(*map(F.col, ("root", "sketch", "edited_root", "edited_sketch"))).alias("near_edited"),
+        merkle.likeness(*map(F.col, ("root", "sketch", "next_root", "next_sketch"))).alias("near_next"),
+    )
+
+
+def vocabulary() -> tuple[str, str]:
+    """File and split pattern of the merge ranks that give the ids of ``byte_bpe_50k.json``."""
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *vocabulary()))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    found = warc.read(archives, keep_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
+@query
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+LISTED = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+BLOCKED_WORDS = ("ads", "ads-track", "adult", "adult-x", "casino", "cheap-pills", "free-bets", "pills", "spam")
+URL_RULES = [
+    *(url_rules.host_rule(name, verdict) for name, verdict in LISTED),
+    *(url_rules.word_rule(word, "block") for word in BLOCKED_WORDS),
+]
+
+
+@query
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
