@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, merkle, packing, simhash, url_rules, warc
-from tidemark.llm.common import table
+from tidemark.llm import html_text, language, merkle, packing, simhash, url_rules, warc
+from tidemark.llm.common import held_out, table
 from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_print("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.edited(table(spark, sf_dir, "documents"))

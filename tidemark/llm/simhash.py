@@ -122,7 +122,9 @@ def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) ->
     linked = nodes.join(roots, nodes.fp == roots.node).select("fp", "first", "root")
     smallest = linked.groupBy("root").agg(F.min("first").alias("low"))
     low = linked.join(smallest, "root").select("fp", "low")
-    named = nodes.join(low, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"))
+    # Stored, so that both sides of the last join are plain exchanges: adaptive execution can then
+    # split the fingerprint of a large group of copies.
+    named = kept(nodes.join(low, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
