@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, language, merkle, packing, simhash, url_rules, warc
+from tidemark.llm import html_text, language, merkle, packing, simhash, toxicity, url_rules, warc
 from tidemark.llm.common import held_out, table
 from tidemark.session import scratch_path
 
@@ -67,6 +67,21 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
 
 
+TOXIC_FROM = 0.5
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
