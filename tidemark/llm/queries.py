@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, language, merkle, packing, simhash, toxicity, url_rules, warc
+from tidemark.llm import decontaminate, html_text, language, merkle, packing, simhash, toxicity, url_rules, warc
 from tidemark.llm.common import held_out, table
 from tidemark.session import scratch_path
 
@@ -36,6 +36,12 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.edited(table(spark, sf_dir, "documents"))
