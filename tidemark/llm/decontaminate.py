@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept
 
-NGRAM = 4
-WINDOW = 3
+NGRAM = 3
+WINDOW = 2
 TABLE_BITS = 24
 MIN_SCORE = 0.4
 MATCH, MISMATCH, GAP = 2, -1, -1

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, language, merkle, packing, simhash, toxicity, url_rules, warc
+from tidemark.llm import decontaminate, html_text, language, merkle, packing, repeats, simhash, toxicity, url_rules, warc
 from tidemark.llm.common import held_out, table
 from tidemark.session import scratch_path
 
@@ -56,6 +56,12 @@ def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), min_length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def vocabulary() -> tuple[str, str]:
     """File and split pattern of the merge ranks that give the ids of ``byte_bpe_50k.json``."""
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
