@@ -375,10 +375,8 @@ def without_repeats(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
             out = []
             for doc, text, ranges in zip(*batch.columns, strict=True):
                 data = text.as_py()
-                s, e = _union(ranges.values if ranges.is_valid else None, len(data))
-                edges = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
-                left = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out.append((doc.as_py(), len(data), len(data) - len(left), len(s), left))
+                left, n = _left(data, ranges.values if ranges.is_valid else None)
+                out.append((doc.as_py(), len(data), len(data) - len(left), n, left))
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.int64()] * 4 + [pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -389,6 +387,40 @@ def without_repeats(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     return both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+def shortened(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
+    """The rows of ``docs`` with repeats cut from ``text`` and ``n_chars`` (if there) counted anew.
+
+    Bytes of a character that a cut leaves incomplete go too. A row loses its place only if its
+    text was not empty and nothing is left. Other columns stay as they are; a null stays null.
+    """
+    rows = docs.withColumn("_key", F.col("doc_id").cast("long"))
+    found = spans(docs, min_length).withColumnRenamed("doc_id", "_of")
+    both = rows.join(found.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left").drop("_key", "_of")
+    at, of = both.columns.index("text"), both.columns.index("spans")
+    names = [c for c in both.columns if c != "spans"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            for i, ranges in enumerate(batch.column(of)):
+                if ranges.is_valid and texts[i]:
+                    data = texts[i].encode("utf-8", "surrogatepass")
+                    texts[i] = _left(data, ranges.values)[0].decode("utf-8", "ignore") or None
+            columns = [pa.array(texts, pa.string()) if n == at else batch.column(n) for n in range(batch.num_columns) if n != of]
+            gone = pa.array([t is None and batch.column(of)[i].is_valid for i, t in enumerate(texts)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*columns, gone], names=[*names, "_gone"])
+
+    out = both.mapInArrow(run, both.select(*names).withColumn("_gone", F.lit(True)).schema).where("not _gone").drop("_gone")
+    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in names else out
+
+
+def _left(data: bytes, ranges: pa.StructArray | None) -> tuple[bytes, int]:
+    """What is left of ``data`` without the ranges, and the number of separate ranges."""
+    s, e = _union(ranges, len(data))
+    edges = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
+    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), len(s)
+
+
 def _union(ranges: pa.StructArray | None, size: int) -> tuple[np.ndarray, np.ndarray]:
     if ranges is None or not len(ranges):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
