@@ -107,10 +107,10 @@ def edited(docs: DataFrame) -> DataFrame:
     predecessor needs is sent to it.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
-    need = rows.groupBy("doc_id").agg(F.floor(F.max("n_chars") / 4).alias("need"))
-    asked = next_ids(rows).join(need, "doc_id").withColumnRenamed("doc_id", "for_id")
-    source = rows.join(asked, rows.doc_id == asked.next_id)
+    placed = rows.where("doc_id is not null")  # the same rows and columns on both joins: dealt out once
+    need = placed.groupBy("doc_id").agg(F.floor(F.max(F.char_length("text")) / 4).alias("need"))
+    asked = next_ids(placed).join(need, "doc_id").withColumnRenamed("doc_id", "for_id")
+    source = placed.join(asked, placed.doc_id == asked.next_id)
     own = tree(F.col("text"))
     sent = source.select(
         "for_id",
@@ -120,20 +120,20 @@ def edited(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("tie"),
     )
     sent = sent.groupBy("for_id").agg(F.min_by(F.struct("head", "next_root", "next_sketch"), F.struct("head", "tie")).alias("s"))
-    joined = rows.join(sent, rows.doc_id == sent.for_id, "left")
-    cut = F.floor(F.col("n_chars") / 4)
-    text = F.concat(
-        F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 4) as int))"),
-        F.substring(F.coalesce("s.head", F.lit("")), F.lit(1), cut.cast("int")),
-    )
+    joined = placed.join(sent, placed.doc_id == sent.for_id).select("doc_id", "text", "s")
     empty = tree(F.lit(""))
-    with_edit = joined.select(
+    nothing = F.struct(F.lit("").alias("head"), empty["root"].alias("next_root"), empty["sketch"].alias("next_sketch"))
+    lost = rows.where("doc_id is null").select("doc_id", "text", nothing.alias("s"))
+    n_chars = F.char_length("text").cast("long")
+    cut = F.expr("cast(floor(char_length(text) / 4) as int)")
+    text = F.concat(F.substring("text", F.lit(1), F.char_length("text") - cut), F.substring("s.head", F.lit(1), cut))
+    with_edit = joined.union(lost).select(
         "doc_id",
-        "n_chars",
+        n_chars.alias("n_chars"),
         "text",
         text.alias("edited_text"),
-        F.coalesce("s.next_root", empty["root"]).alias("next_root"),
-        F.coalesce("s.next_sketch", empty["sketch"]).alias("next_sketch"),
+        F.col("s.next_root").alias("next_root"),
+        F.col("s.next_sketch").alias("next_sketch"),
     )
     a, b = tree(F.col("text")), tree(F.col("edited_text"))
     return with_edit.select(

@@ -171,8 +171,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` between 1 and ``capacity``.
 
     Sequences are gapless from offset 0 and hold at most ``capacity`` ids. Ties are broken by
-    the stored order. Other columns stay; an empty table stays empty.
+    the stored order. Other columns stay, but for earlier ones with the names of the two new ones
+    or ``_part``, ``_rank``, ``_before``; an empty table stays empty.
     """
+    pieces = pieces.drop("sequence_id", "offset", "_part", "_rank", "_before")
     stored = kept(pieces.withColumn("length", F.col("length").cast("long")))
     counts = {r[0]: r[1] for r in stored.groupBy("length").count().collect()}  # at most `capacity` rows
     slots = _slots(plan(counts, capacity))

@@ -393,11 +393,10 @@ def shortened(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     Bytes of a character that a cut leaves incomplete go too. A row loses its place only if its
     text was not empty and nothing is left. Other columns stay as they are; a null stays null.
     """
-    rows = docs.withColumn("_key", F.col("doc_id").cast("long"))
-    found = spans(docs, min_length).withColumnRenamed("doc_id", "_of")
-    both = rows.join(found.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left").drop("_key", "_of")
-    at, of = both.columns.index("text"), both.columns.index("spans")
-    names = [c for c in both.columns if c != "spans"]
+    found = spans(docs, min_length).select(F.col("doc_id").alias("_of"), F.col("spans").alias("_cut"))
+    both = docs.join(found.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_of"), "left").drop("_of")
+    at, of = both.columns.index("text"), both.columns.index("_cut")
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
