@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept
+from tidemark.llm.common import kept, long_id
 
 SKETCH = 64
 RUN = r"(?:[^ \t\r\n]+[ \t]*){1,3}"
@@ -106,7 +106,7 @@ def edited(docs: DataFrame) -> DataFrame:
     their last quarter and the next document counts as empty. Only the part of a text that its
     predecessor needs is sent to it.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(long_id(docs), F.coalesce("text", F.lit("")).alias("text"))
     placed = rows.where("doc_id is not null")  # the same rows and columns on both joins: dealt out once
     need = placed.groupBy("doc_id").agg(F.floor(F.max(F.char_length("text")) / 4).alias("need"))
     asked = next_ids(placed).join(need, "doc_id").withColumnRenamed("doc_id", "for_id")
