@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept
+from tidemark.llm.common import kept, long_id
 
 MIN_LENGTH = 100
 SAMPLE_OF_64 = 1
@@ -164,7 +164,9 @@ def _find(docs: DataFrame, min_length: int, hot: np.ndarray | None) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            pairs = [(k, t) for k, t in pairs if k is not None and len(t) >= min_length]
+            keys, texts = [k for k, _ in pairs], [t for _, t in pairs]
             for data, doc, place, limits in _blocks(keys, texts, min_length):
                 hm, hs, s1, s2 = _stretches(data, limits, min_length)
                 if hot is not None and len(hot) and len(hm):
@@ -310,12 +312,13 @@ def _last_group(rows: list[tuple[int, int, int, bytes]]) -> int:
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the asked stretches, each with the byte before it."""
+    """The bytes of the stretches in ``_asked``, each with the byte before it."""
     names = ["hm", "doc_id", "s", "bytes"]
     for batch in batches:
         rows, size = [], 0
-        for doc, text, asked in zip(*batch.columns, strict=True):
-            key, data = doc.as_py(), text.as_py()
+        for doc, text, asked in zip(*(batch.column(c) for c in ("doc_id", "text", "_asked")), strict=True):
+            key, data = doc.as_py(), text.as_py() or b""
+            data = data.encode("utf-8", "surrogatepass") if isinstance(data, str) else data
             for one in asked.as_py():
                 s, e = one["s"], one["e"]
                 if e <= len(data):
@@ -340,10 +343,18 @@ def spans(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     a smaller doc_id, or earlier in the same document. Rows that share a doc_id are judged as one
     document; a row with a null doc_id or text has no spans. Ranges may overlap.
     """
-    rows = docs.where("doc_id is not null and octet_length(text) >= " + str(min_length))
-    rows = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    hot = hot_minimizers(rows, min_length)
-    found = _find(rows, min_length, hot)
+    return _spans(_binary(docs).where("doc_id is not null"), min_length)
+
+
+def _binary(docs: DataFrame) -> DataFrame:
+    return docs.select(long_id(docs), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
+
+def _spans(rows: DataFrame, min_length: int) -> DataFrame:
+    """``spans`` of rows without null ids. All their columns go through the join, unused: so it is
+    the same exchange as that of a caller who joins the spans to these rows, and made once."""
+    texts = rows.select("doc_id", F.col("text").cast("binary").alias("text")).where("text is not null")
+    found = _find(texts, min_length, hot_minimizers(texts, min_length))
     marked = found.selectExpr(
         "*",
         "min(struct(doc_id, s)) over (partition by hm, hs) as earliest",
@@ -351,8 +362,9 @@ def spans(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     )
     again = "role = 1 or struct(doc_id, s) > earliest"
     some = kept(marked.where(f"{again} or many").selectExpr("hm", "doc_id", "s", "e", f"{again} as again"))
-    asked = some.where("not again").groupBy("doc_id").agg(F.collect_list(F.struct("hm", "s", "e")).alias("asked"))
-    parts = rows.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "asked")
+    asked = some.where("not again").groupBy(F.col("doc_id").alias("_of"))
+    asked = asked.agg(F.collect_list(F.struct("hm", "s", "e")).alias("_asked"))
+    parts = rows.join(asked.hint("shuffle_hash"), F.col("doc_id") == F.col("_of"))
     parts = parts.mapInArrow(_cut_out, "hm long, doc_id long, s long, bytes binary")
     by_group = parts.repartition("hm").sortWithinPartitions("hm")
     partial = by_group.mapInArrow(lambda b: _arrays(b, min_length), "doc_id long, s long, e long")
@@ -360,15 +372,21 @@ def spans(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     return both.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
+def _with_spans(rows: DataFrame, min_length: int) -> DataFrame:
+    """All rows with ``_cut``, the spans of their document or null."""
+    placed = rows.where("doc_id is not null")
+    found = _spans(placed, min_length).select(F.col("doc_id").alias("_of"), F.col("spans").alias("_cut"))
+    both = placed.join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("_of"), "left").drop("_of")
+    lost = rows.where("doc_id is null")
+    return both.union(lost.withColumn("_cut", F.lit(None).cast(both.schema["_cut"].dataType)))
+
+
 def without_repeats(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     """Every row of ``docs(doc_id, text)`` as ``(doc_id, n_bytes, n_removed, n_spans, kept)``.
 
     Texts count as UTF-8 bytes, a null as empty; ``kept`` is what is left of them, joined. It may
     begin or end inside a character. Repeated rows each get a row; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    found = spans(docs, min_length)
-    both = rows.join(found.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -384,7 +402,8 @@ def without_repeats(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    return both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    return _with_spans(_binary(docs), min_length).mapInArrow(run, schema)
 
 
 def shortened(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -392,9 +411,9 @@ def shortened(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
 
     Bytes of a character that a cut leaves incomplete go too. A row loses its place only if its
     text was not empty and nothing is left. Other columns stay as they are; a null stays null.
+    The doc_id must be a long.
     """
-    found = spans(docs, min_length).select(F.col("doc_id").alias("_of"), F.col("spans").alias("_cut"))
-    both = docs.join(found.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_of"), "left").drop("_of")
+    both = _with_spans(docs, min_length)
     at, of = both.columns.index("text"), both.columns.index("_cut")
     names = docs.columns
 
