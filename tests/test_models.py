@@ -5,8 +5,10 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics, profile, split
+from tidemark.operators.lookup import join_labels
 from tidemark.operators.metrics import Threshold
 from tidemark.plans import features, medallion, monitoring, scoring, training, validation
+from tidemark.plans.training import train_trip_model
 from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import sample_views as views
 from tidemark.sources import tables
@@ -218,3 +220,36 @@ def test_feature_table_lookup_uses_its_keys(spark):
     FeatureTable.create(spark, name, rows_, ["zip"], "tpep_pickup_datetime")
     lookup = FeatureTable(spark, name).lookup(training.PICKUP_FEATURES, ["pickup_zip"], "rounded_pickup_datetime")
     assert (list(lookup.primary_keys), lookup.timestamp_key) == (["zip"], "tpep_pickup_datetime")
+
+
+def test_drift_sees_values_outside_all_edges_and_several_columns(spark):
+    df = spark.sql(
+        "SELECT timestamp'2024-01-01 06:00:00' + make_interval(0, 0, 0, i div 10) AS t, 500 + i % 10 AS v, "
+        "CAST(NULL AS DOUBLE) AS w FROM (SELECT explode(sequence(0, 19)) AS i)"
+    )
+    got = profile.drift(df, "t", "v", [10, 200], "2024-01-02").orderBy("window").collect()
+    assert [(r.rows, r.mean, r.percentile, r.stability_index) for r in got] == [(10, 504.5, 504.0, 0.0)] * 2
+    noon = profile.drift(df, "t", "v", [10, 505], "2024-01-01 12:00:00").collect()
+    assert all(abs(r.stability_index) < 1e-12 for r in noon)
+    both = profile.drift_of_columns(df, "t", {"v": [10, 200], "w": [1]}, "2024-01-02").collect()
+    assert sorted((r.column_name, r.nulls, r.percentile) for r in both) == [
+        ("v", 0, 504.0), ("v", 0, 504.0), ("w", 10, None), ("w", 10, None)
+    ]
+
+
+def test_a_second_label_of_a_key_is_refused(spark):
+    predictions = spark.createDataFrame([(1, 2.0)], "k long, prediction double")
+    labels = spark.createDataFrame([(1, 3.0), (1, 4.0)], "k long, y double")
+    with pytest.raises(Exception, match="duplicate"):
+        join_labels(predictions, labels, ["k"], "y").collect()
+
+
+def test_rows_without_a_key_are_split_and_trained_on(spark):
+    trips = spark.sql(
+        "SELECT timestamp'2022-01-12' + make_interval(0, 0, 0, 0, 0, i) AS tpep_pickup_datetime, "
+        "timestamp'2022-01-12' + make_interval(0, 0, 0, 0, 0, i + 9) AS tpep_dropoff_datetime, "
+        "94400 + i % 3 AS pickup_zip, 94400 AS dropoff_zip, 2L AS trip_distance, 100L + i % 7 AS fare_amount "
+        "FROM (SELECT explode(sequence(1, 80)) AS i)"
+    )
+    _, scores = train_trip_model(trips, [], rounds=2)
+    assert scores.first()["root_mean_squared_error"] < 50

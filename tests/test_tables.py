@@ -110,7 +110,10 @@ def test_feature_job_in_parts_equals_one_run(spark):
     assert len(whole) == expected.count()
     run_feature_job(spark, path, target, "pickup_features", keys, ts, "2024-01-10", "2024-01-12")
     again = FeatureTable(spark, target).read()
-    assert again.count() == len(whole)
+    assert rows(again, "zip", ts) == whole
+    for start, end in ((None, "2024-01-10 07:10:00"), ("2024-01-10 07:10:00", "2024-01-12"), ("2024-01-12", None)):
+        run_feature_job(spark, path, target + "_parts", "pickup_features", keys, ts, start, end)
+    assert rows(FeatureTable(spark, target + "_parts").read(), "zip", ts) == whole
     run_feature_job(spark, path, target, "pickup_features", keys, ts, full_refresh=True)
     assert rows(FeatureTable(spark, target).read(), "zip", ts) == whole
 
@@ -126,7 +129,7 @@ def cut(spark, df):
 def test_job_needs_its_parameters(spark):
     with pytest.raises(ValueError):
         run_feature_job(spark, "", "a.b", "pickup_features", "zip", "ts")
-    with pytest.raises(ValueError, match="catalog.schema.table"):
+    with pytest.raises(ValueError, match="names no schema"):
         run_feature_job(spark, "/tmp/none", "bare", "pickup_features", "zip", "ts")
 
 
@@ -198,3 +201,59 @@ def test_stored_copy_keeps_rows_and_types(spark):
     copy = cut_lineage(df)
     assert copy.schema == df.schema and rows(copy, "zip") == rows(df, "zip")
     assert rows(copy, "zip")[0][1] == datetime(2024, 1, 5)
+
+
+@pytest.mark.parametrize(
+    ("start", "end", "found"),
+    [
+        ("2024-1-1", None, 3),
+        ("2024-02-01T00:00:00+09:00", None, 2),
+        (None, "2024-2-1", 2),
+        ("2024-01-31 15:30:00", "2024-02-01T00:00:00Z", 1),
+    ],
+)
+def test_read_takes_every_spelling_of_a_time(spark, start, end, found):
+    rows_in = spark.sql(
+        "SELECT 1 AS k, timestamp(t) AS t FROM VALUES ('2024-01-05 00:00:00'), ('2024-01-31 15:30:00'), "
+        "('2024-02-01 00:00:00') AS v(t)"
+    )
+    table = FeatureTable.create(spark, name("spelled"), rows_in, ["k"], "t")
+    table.merge(rows_in)
+    assert table.read(start, end).count() == found
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_overwrites_do_not_depend_on_the_sessions_mode(spark, mode):
+    old = spark.sql("SELECT 1 AS k, timestamp'2024-01-05' AS t, '2024-01' AS yyyy_mm")
+    new = spark.sql("SELECT 2 AS k, timestamp'2024-03-05' AS t, '2024-03' AS yyyy_mm")
+    path = cut(spark, old)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        table = FeatureTable.create(spark, name("fresh"), old, ["k"], "t")
+        table.merge(old)
+        table.merge(new)
+        assert table.read().count() == 2
+        table.overwrite(new)
+        assert [r.k for r in table.read().collect()] == [2]
+        tables.overwrite_path(old, path + "-out")
+        tables.overwrite_path(new, path + "-out")
+        assert [r.k for r in spark.read.parquet(path + "-out").collect()] == [2]
+        tables.overwrite_path(old, path + "-out", only_touched=True)
+        assert spark.read.parquet(path + "-out").count() == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_a_name_follows_its_path_and_a_table_its_columns(spark):
+    one, two = cut(spark, spark.range(3)), cut(spark, spark.range(5))
+    registered = name("path")
+    assert tables.register_path(spark, registered, one).count() == 3
+    assert tables.register_path(spark, registered, two).count() == 5
+    first = spark.sql("SELECT 1 AS k, timestamp'2024-01-05' AS t, 1.0D AS v")
+    table = FeatureTable.create(spark, name("grown"), first, ["k"], "t")
+    table.merge(first)
+    table.merge(spark.sql("SELECT 2 AS k, timestamp'2024-01-06' AS t, 2.0D AS v, 'x' AS w"))
+    assert [(r.k, r.v, r.w) for r in table.read().orderBy("k").collect()] == [(1, 1.0, None), (2, 2.0, "x")]
+    with pytest.raises(ValueError, match="not at"):
+        FeatureTable.create(spark, table.name, first, ["k"], "t", "/elsewhere")

@@ -29,13 +29,20 @@ def time_range(df: DataFrame, ts: str, start: Bound = None, end: Bound = None) -
     return df
 
 
-def months_between(start: Bound, end: Bound, column: str = "yyyy_mm") -> Column:
-    """Partition predicate for a half-open time range on a month-partitioned table."""
+def months_between(start: Bound, end: Bound, column: str = "yyyy_mm", kind: str = "timestamp") -> Column:
+    """Partition predicate for a half-open time range on a month-partitioned table.
+
+    The months are those of the bounds as times of type ``kind``, that of the time column.
+    """
+
+    def month(bound: Bound) -> Column:
+        return F.date_format(F.lit(str(bound)).cast(kind), "yyyy-MM")
+
     keep = F.lit(True)
     if start:
-        keep = keep & (F.col(column) >= F.lit(str(start)[:7]))
+        keep = keep & (F.col(column) >= month(start))
     if end:
-        keep = keep & (F.col(column) <= F.lit(str(end)[:7]))
+        keep = keep & (F.col(column) <= month(end))
     return keep
 
 
@@ -73,12 +80,32 @@ def enforce_schema(df: DataFrame, schema: T.StructType = READING_SCHEMA) -> Data
     required = [f.name for f in schema.fields if not f.nullable]
     for name in required:
         df = df.filter(F.col(name).isNotNull())
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[_as_declared(f).alias(f.name) for f in schema.fields])
+
+
+def _as_declared(field: T.StructField) -> Column:
+    """The column in its type; for a required one a default that is never used makes it non-null."""
+    value = F.col(field.name).cast(field.dataType)
+    if field.nullable:
+        return value
+    if isinstance(field.dataType, T.TimestampType):
+        return F.coalesce(value, F.timestamp_seconds(F.lit(0)))
+    return F.coalesce(value, F.lit("" if isinstance(field.dataType, T.StringType) else 0).cast(field.dataType))
 
 
 def rescue_json(df: DataFrame, text: str, schema: T.StructType, rescued: str = "_rescued_data") -> DataFrame:
-    """Parse one JSON document per row; text that does not fit lands whole in ``rescued``."""
+    """Parse one JSON document per row.
+
+    Text that does not fit lands whole in ``rescued``; of text that fits, the fields outside the
+    schema do, as one JSON object of texts.
+    """
     fields = [T.StructField(f.name, f.dataType, True) for f in schema.fields]
     wide = T.StructType([*fields, T.StructField(rescued, T.StringType(), True)])
     parsed = F.from_json(F.col(text), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rescued})
-    return df.withColumn("_row", parsed).select(*[c for c in df.columns if c != text], "_row.*")
+    known = [f.name for f in fields]
+    others = F.map_filter(F.from_json(F.col(text), "map<string, string>"), lambda name, _: ~name.isin(known))
+    unknown = F.when(F.size(others) > 0, F.to_json(others))
+    kept = [c for c in df.columns if c != text]
+    return df.withColumns({"_row": parsed, "_others": unknown}).select(
+        *kept, *[f"_row.{n}" for n in known], F.coalesce(f"_row.{rescued}", "_others").alias(rescued)
+    )

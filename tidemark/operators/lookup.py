@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.operators.keys import unique_rows
+
 _AT, _FOUND, _SLOT, _ASKED = "__at", "__found", "__slot", "__asked"
 
 
@@ -138,6 +140,6 @@ def training_set(
 def join_labels(predictions: DataFrame, labels: DataFrame, on: Sequence[str], label: str) -> DataFrame:
     """Attach ground truth to predictions; a prediction without a label keeps a null.
 
-    ``labels`` must have one row per key.
+    The job fails on a second label of the same key, or on a label without one.
     """
-    return predictions.drop(label).join(labels.select(*on, label), list(on), "left")
+    return predictions.drop(label).join(unique_rows(labels.select(*on, label), on), list(on), "left")

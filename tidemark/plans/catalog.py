@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,7 +123,8 @@ RESCUE_SCHEMA = (
 
 
 def _json_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Readings as JSON texts; some are cut short, so that they are no valid document."""
+    """Readings as JSON texts; some are cut short, so that they are no valid document, and some
+    have fields that no schema names."""
     event = F.col("event_id")
     readings = views.events(spark, folder).select(
         event,
@@ -132,7 +133,21 @@ def _json_rows(spark: SparkSession, folder: str) -> DataFrame:
         (event % 100).cast("double").alias("humidity"),
     )
     cut_short = F.concat(F.lit('{"event_id": '), event.cast("string"))
-    return readings.select(F.when(event % 97 == 0, cut_short).otherwise(F.to_json(F.struct("*"))).alias("body"))
+    wider = F.to_json(F.struct("*", F.lit("east").alias("site"), (event % 3).alias("shift")))
+    text = F.when(event % 97 == 0, cut_short).when(event % 50 == 1, wider).otherwise(F.to_json(F.struct("*")))
+    return readings.select(text.alias("body"))
+
+
+def _broken_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings of which some have an impossible sensor, no time or no temperature."""
+    sensor = F.col("sensor_id")
+    return views.readings(spark, folder).withColumns(
+        {
+            "event_time": F.when(sensor != 17, F.col("event_time")),
+            "temperature": F.when(sensor != 19, F.col("temperature")),
+            "sensor_id": F.when(sensor == 13, F.lit(13000)).otherwise(sensor),
+        }
+    )
 
 
 @query
@@ -222,7 +237,7 @@ def sensor_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def bronze_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(medallion.bronze(views.readings(spark, folder), TUMBLING))
+    return rounded(medallion.bronze(_broken_readings(spark, folder), TUMBLING))
 
 
 @query
@@ -268,17 +283,21 @@ def gold_from_stored_silver(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def expect_report(spark: SparkSession, folder: str) -> DataFrame:
     rules = [*quality.BRONZE_RULES, *quality.SILVER_WARN_RULES, *quality.SILVER_DROP_RULES]
-    return quality.report(views.readings(spark, folder), rules)
+    return quality.report(_broken_readings(spark, folder), rules)
 
 
 @query
 def expect_drop(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(quality.expect(views.readings(spark, folder), quality.SILVER_DROP_RULES))
+    return rounded(quality.expect(_broken_readings(spark, folder), quality.SILVER_DROP_RULES))
 
 
 @query
 def expect_keep(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(quality.expect(views.readings(spark, folder), quality.SILVER_WARN_RULES))
+    """Warn rules keep every row; the counts are those taken on the way, next to the rows that came out."""
+    seen = Observation()
+    out = quality.expect(_broken_readings(spark, folder), quality.SILVER_WARN_RULES, seen)
+    kept = out.agg(F.count(F.lit(1)).alias("kept")).first()
+    return spark.createDataFrame([{"kept": kept["kept"], **seen.get}])
 
 
 # --- point-in-time lookup ---------------------------------------------------------------
@@ -355,6 +374,75 @@ def feature_table_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(stored)
 
 
+@query
+def upsert_new_column(spark: SparkSession, folder: str) -> DataFrame:
+    """An upsert with a column that the stored table lacks: older rows get a null there."""
+    trips = views.trips(spark, folder)
+    current = features.pickup_features(trips, PICKUP, "", RANGE[1])
+    incoming = features.pickup_features(trips, PICKUP, RANGE[0], "")
+    name, path = f"default.wider_{uuid.uuid4().hex}", scratch_path(spark, "table")
+    table = FeatureTable.create(spark, name, current, ["zip"], PICKUP, path)
+    table.merge(current)
+    table.merge(incoming.withColumn("zip_group", (F.col("zip") % 7).cast("int")))
+    stored = tables.read_path(spark, path, schema=table.read().schema)
+    spark.sql(f"DROP TABLE {name}")
+    return rounded(stored)
+
+
+@query
+def feature_job_in_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored job run over two neighbouring ranges; one run over everything gives the same."""
+    source, name = scratch_path(spark, "trips"), f"default.parts_{uuid.uuid4().hex}"
+    views.trips(spark, folder).write.parquet(source)
+    for start, end in ((None, "2024-01-10 12:10:00"), ("2024-01-10 12:10:00", None)):
+        table = features.run_feature_job(spark, source, name, "pickup_features", "zip", PICKUP, start, end)
+    stored = cut_lineage(table.read(), "parts")
+    spark.sql(f"DROP TABLE {name}")
+    return rounded(stored)
+
+
+@query
+def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored feature table replaced as a whole: rows of other months do not stay."""
+    trips = views.trips(spark, folder)
+    later = trips.withColumn(PICKUP, F.col(PICKUP) + F.expr("INTERVAL 90 DAYS"))
+    name, path = f"default.fresh_{uuid.uuid4().hex}", scratch_path(spark, "table")
+    table = FeatureTable.create(spark, name, features.pickup_features(later, PICKUP), ["zip"], PICKUP, path)
+    table.merge(features.pickup_features(later, PICKUP))
+    table.overwrite(features.find_feature_set("pickup_features")(trips, PICKUP, None, None))
+    stored = tables.read_path(spark, path, schema=table.read().schema)
+    spark.sql(f"DROP TABLE {name}")
+    return rounded(stored)
+
+
+@query
+def named_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A path registered under a name, its rows appended to an empty typed table, read by name."""
+    path, tag = scratch_path(spark, "preds"), uuid.uuid4().hex
+    predicted = views.predictions(spark, folder)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in tables.PREDICTIONS_SCHEMA]
+    predicted.select(*columns).write.parquet(path)
+    registered = tables.register_path(spark, f"default.path_{tag}", path)
+    tables.create_empty_table(spark, f"default.typed_{tag}")
+    registered.write.insertInto(f"default.typed_{tag}")
+    tables.write_named(tables.read_table(spark, f"default.typed_{tag}").where("model_id = 1"), f"default.named_{tag}")
+    stored = cut_lineage(tables.read_table(spark, f"default.named_{tag}"), "named")
+    for kind in ("path", "typed", "named"):
+        spark.sql(f"DROP TABLE default.{kind}_{tag}")
+    return rounded(stored)
+
+
+@query
+def hash_split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Split of rows that have no key: both parts together, and how a repeated row falls."""
+    trips = views.trips(spark, folder).drop("trip_id")
+    train, test = split.hash_split(trips)
+    both = train.select(F.lit(1).alias("n")).union(test.select(F.lit(1)))
+    apart = train.intersect(test).agg(F.count(F.lit(1)).alias("in_both"))
+    near = (F.abs(F.try_divide(F.lit(train.count()), F.lit(trips.count())) - 0.75) < 0.05).alias("near_75")
+    return both.agg(F.sum("n").alias("rows")).select("rows", apart.scalar().alias("in_both"), near)
+
+
 # --- split, scoring input, labels -------------------------------------------------------
 
 

@@ -22,13 +22,15 @@ from tidemark.sources.tables import ensure_namespace, read_path
 FeatureSet = Callable[[DataFrame, str, Bound, Bound], DataFrame]
 
 FEATURE_SETS: dict[str, FeatureSet] = {}
+WINDOW_MINUTES: dict[str, int] = {}
 
 
-def feature_set(name: str) -> Callable[[FeatureSet], FeatureSet]:
-    """Register a feature set under a name that jobs can refer to."""
+def feature_set(name: str, minutes: int) -> Callable[[FeatureSet], FeatureSet]:
+    """Register a feature set, with the length of its windows, under a name that jobs can refer to."""
 
     def register(fn: FeatureSet) -> FeatureSet:
         FEATURE_SETS[name] = fn
+        WINDOW_MINUTES[name] = minutes
         return fn
 
     return register
@@ -41,7 +43,7 @@ def find_feature_set(name: str) -> FeatureSet:
     return import_module(name).compute_features_fn
 
 
-@feature_set("pickup_features")
+@feature_set("pickup_features", 60)
 def pickup_features(
     input_df: DataFrame, timestamp_column: str, start_date: Bound = None, end_date: Bound = None
 ) -> DataFrame:
@@ -65,7 +67,7 @@ def pickup_features(
     )
 
 
-@feature_set("dropoff_features")
+@feature_set("dropoff_features", 30)
 def dropoff_features(
     input_df: DataFrame, timestamp_column: str, start_date: Bound = None, end_date: Bound = None
 ) -> DataFrame:
@@ -88,7 +90,7 @@ def dropoff_features(
     )
 
 
-@feature_set("sensor_features")
+@feature_set("sensor_features", 60)
 def sensor_features(
     input_df: DataFrame, timestamp_column: str, start_date: Bound = None, end_date: Bound = None
 ) -> DataFrame:
@@ -127,11 +129,15 @@ def run_feature_job(
     end_date: Bound = None,
     input_format: str = "parquet",
     full_refresh: bool = False,
+    whole_windows: bool = True,
 ) -> FeatureTable:
     """Compute a feature set from a stored table and upsert it into its feature table.
 
-    A run over a date range replaces the windows it computes; windows that reach over the
-    edge of the range hold only the rows inside it. ``full_refresh`` replaces the table.
+    A run over a date range stores the windows that end after ``start_date`` and not after
+    ``end_date``, each from all its rows, so runs over neighbouring ranges give what one run
+    gives. Without ``whole_windows`` (and for feature sets of unknown window length) the rows of
+    the range alone are used, and windows over its edges hold only the part inside.
+    ``full_refresh`` replaces the table.
     """
     if not input_path or not output_table:
         raise ValueError("input_path and output_table must be given")
@@ -140,10 +146,28 @@ def run_feature_job(
     if isinstance(primary_keys, str):
         primary_keys = [k.strip() for k in primary_keys.split(",")]
     raw = read_path(spark, input_path, input_format)
-    rows = find_feature_set(feature_set_name)(raw, timestamp_column, start_date, end_date)
+    if whole_windows and feature_set_name in WINDOW_MINUTES:
+        rows = complete_windows(raw, feature_set_name, timestamp_column, start_date, end_date)
+    else:
+        rows = find_feature_set(feature_set_name)(raw, timestamp_column, start_date, end_date)
     table = FeatureTable.create(spark, output_table, rows, primary_keys, timestamp_column)
     if full_refresh:
         table.overwrite(rows)
     else:
         table.merge(rows)
     return table
+
+
+def complete_windows(
+    rows: DataFrame, feature_set_name: str, timestamp_column: str, start: Bound = None, end: Bound = None
+) -> DataFrame:
+    """Features of the windows that end after ``start`` and not after ``end``, from all their rows."""
+    kind = rows.schema[timestamp_column].dataType.simpleString()
+    at = F.col(timestamp_column)
+    if start:
+        first = F.lit(str(start)).cast(kind) - F.expr(f"INTERVAL {WINDOW_MINUTES[feature_set_name]} MINUTES")
+        rows = rows.where(at >= first)
+    out = FEATURE_SETS[feature_set_name](rows, timestamp_column, None, end)
+    if start:
+        out = out.where(at > F.lit(str(start)).cast(kind))
+    return out.where(at <= F.lit(str(end)).cast(kind)) if end else out

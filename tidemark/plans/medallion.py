@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.timekeys import epoch_seconds, month_key
@@ -56,18 +56,23 @@ TUMBLING = Variant(
 )
 
 
-def bronze(readings: DataFrame, variant: Variant = TUMBLING) -> DataFrame:
-    """Readings that satisfy the rules of the first layer."""
-    return expect(readings, variant.bronze_rules)
+def bronze(readings: DataFrame, variant: Variant = TUMBLING, observe: Observation | str | None = None) -> DataFrame:
+    """Readings that satisfy the rules of the first layer; ``observe`` takes the rule counts."""
+    return expect(readings, variant.bronze_rules, observe)
 
 
-def silver(readings: DataFrame, variant: Variant = TUMBLING, delay: str | None = None) -> DataFrame:
-    """5-minute statistics of plausible readings per sensor.
+def silver(
+    readings: DataFrame,
+    variant: Variant = TUMBLING,
+    delay: str | None = None,
+    observe: Observation | str | None = None,
+) -> DataFrame:
+    """5-minute statistics of plausible readings per sensor; ``observe`` takes the rule counts.
 
     ``delay`` is for streams: it sets a watermark on the plausible readings, so that a broken
     reading cannot move it.
     """
-    clean = plausible(expect(readings, variant.silver_rules), variant.ranges)
+    clean = plausible(expect(readings, variant.silver_rules, observe), variant.ranges)
     if delay:
         clean = clean.withWatermark("event_time", delay)
     stats = windowed_agg(
@@ -98,10 +103,10 @@ def silver(readings: DataFrame, variant: Variant = TUMBLING, delay: str | None =
     )
 
 
-def gold(silver_rows: DataFrame, variant: Variant = TUMBLING) -> DataFrame:
+def gold(silver_rows: DataFrame, variant: Variant = TUMBLING, observe: Observation | str | None = None) -> DataFrame:
     """Hourly features from 5-minute statistics; the last pressure is the newest window's."""
     stats = (
-        expect(silver_rows, variant.gold_rules)
+        expect(silver_rows, variant.gold_rules, observe)
         .groupBy("sensor_id", F.window("event_time", "1 hour"))
         .agg(
             F.avg("avg_temp_5m").alias("mean_temp_1h"),

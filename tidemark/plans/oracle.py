@@ -19,6 +19,12 @@ READINGS = """readings AS (
          CAST(990 + event_id % 21 AS DOUBLE) AS pressure
   FROM events)"""
 
+BROKEN = """broken AS (
+  SELECT CASE WHEN sensor_id = 13 THEN 13000 ELSE sensor_id END AS sensor_id,
+         CASE WHEN sensor_id <> 17 THEN event_time END AS event_time,
+         CASE WHEN sensor_id <> 19 THEN temperature END AS temperature, humidity, pressure
+  FROM readings)"""
+
 PREDS = """preds AS (
   SELECT event_id AS trip_id, 1 + event_id % 2 AS model_id, value * 0.9 + event_id % 7 AS prediction,
          value AS fare_amount, ts AS timestamp
@@ -69,7 +75,8 @@ SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS event_id,
        CASE WHEN event_id % 97 <> 0 THEN CAST(user_id % 50 + 1 AS INTEGER) END AS sensor_id,
        CASE WHEN event_id % 97 <> 0 THEN round(value - 10, 6) END AS temperature,
        CASE WHEN event_id % 97 <> 0 THEN CAST(event_id % 100 AS DOUBLE) END AS humidity,
-       CASE WHEN event_id % 97 = 0 THEN '{"event_id": ' || event_id END AS _rescued_data
+       CASE WHEN event_id % 97 = 0 THEN '{"event_id": ' || event_id
+            WHEN event_id % 50 = 1 THEN '{"site":"east","shift":"' || event_id % 3 || '"}' END AS _rescued_data
 FROM events"""
 SQL["stamp_constants"] = f"""WITH {PREDS}
 SELECT trip_id, round(prediction, 6) AS prediction, CAST(3 AS INTEGER) AS model_id,
@@ -206,8 +213,8 @@ GOLD_COLUMNS = """sensor_id, event_time, yyyy_mm, round(mean_temp_1h + 1.3e-10,
        round(last_pressure_1h + 1.3e-10, 8) AS last_pressure_1h, total_records_1h"""
 FORECAST = "mean_temp_1h + (epoch_us(event_time) // 1000000) * 1.0::DOUBLE"
 
-SQL["bronze_rules"] = f"""WITH {READINGS}
-SELECT {READING_COLUMNS} FROM readings WHERE event_time IS NOT NULL AND sensor_id BETWEEN 1 AND 10000"""
+SQL["bronze_rules"] = f"""WITH {READINGS}, {BROKEN}
+SELECT {READING_COLUMNS} FROM broken WHERE event_time IS NOT NULL AND sensor_id BETWEEN 1 AND 10000"""
 SQL["silver_sliding"] = f"WITH {READINGS}, {SLIDING} {silver_rows('count_records_5m')}"
 SQL["silver_tumbling"] = f"WITH {READINGS}, {TUMBLING} {silver_rows('count_5m')}"
 SQL["gold_sliding"] = f"WITH {READINGS}, {SLIDING}, {gold('count_records_5m')} SELECT {GOLD_COLUMNS} FROM gold"
@@ -228,13 +235,16 @@ _RULES = {
     "valid_temperature": "temperature BETWEEN -5 AND 80",
     "valid_humidity": "humidity BETWEEN 0 AND 100",
 }
-SQL["expect_report"] = f"WITH {READINGS} " + " UNION ALL ".join(
+SQL["expect_report"] = f"WITH {READINGS}, {BROKEN} " + " UNION ALL ".join(
     f"SELECT '{name}' AS rule, count(*) FILTER (WHERE {rule}) AS passed, "
-    f"count(*) FILTER (WHERE NOT coalesce({rule}, FALSE)) AS failed FROM readings"
+    f"count(*) FILTER (WHERE NOT coalesce({rule}, FALSE)) AS failed FROM broken"
     for name, rule in _RULES.items()
 )
-SQL["expect_drop"] = SQL["plausibility_filter"]
-SQL["expect_keep"] = f"WITH {READINGS} SELECT {READING_COLUMNS} FROM readings"
+SQL["expect_drop"] = f"WITH {READINGS}, {BROKEN} SELECT {READING_COLUMNS} FROM broken WHERE {STRICT}"
+SQL["expect_keep"] = f"""WITH {READINGS}, {BROKEN}
+SELECT count(*) AS kept, count(*) AS checked, count(*) - count(temperature) AS failed_not_null_temperature,
+       count(*) - count(*) FILTER (WHERE temperature >= -20 AND temperature <= 120) AS failed_temperature_safe_range
+FROM broken"""
 
 # --- point-in-time lookup ---------------------------------------------------------------
 
@@ -276,6 +286,23 @@ SELECT * FROM current_rows AS c WHERE NOT EXISTS (
 UNION ALL SELECT * FROM incoming"""
 
 SQL["feature_table_upsert"] = SQL["upsert_features"]
+SQL["upsert_new_column"] = f"""WITH {TRIPS},
+current_rows AS ({pickup("tpep_pickup_datetime < TIMESTAMP '2024-01-20'")}),
+incoming AS ({pickup("tpep_pickup_datetime >= TIMESTAMP '2024-01-10'")})
+SELECT coalesce(n.zip, c.zip) AS zip, coalesce(n.tpep_pickup_datetime, c.tpep_pickup_datetime) AS tpep_pickup_datetime,
+       coalesce(n.yyyy_mm, c.yyyy_mm) AS yyyy_mm,
+       coalesce(n.mean_fare_window_1h_pickup_zip, c.mean_fare_window_1h_pickup_zip) AS mean_fare_window_1h_pickup_zip,
+       coalesce(n.count_trips_window_1h_pickup_zip, c.count_trips_window_1h_pickup_zip)
+         AS count_trips_window_1h_pickup_zip,
+       CAST(n.zip % 7 AS INTEGER) AS zip_group
+FROM current_rows AS c FULL JOIN incoming AS n
+  ON n.zip = c.zip AND n.tpep_pickup_datetime = c.tpep_pickup_datetime"""
+SQL["feature_job_in_parts"] = SQL["full_refresh"] = SQL["pickup_features"]
+SQL["named_overwrite"] = f"""WITH {PREDS}
+SELECT model_id, round(prediction, 6) AS prediction, round(fare_amount, 6) AS fare_amount, timestamp
+FROM preds WHERE model_id = 1"""
+SQL["hash_split_rows"] = """
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS in_both, TRUE AS near_75 FROM events"""
 
 # --- split, scoring input, labels -------------------------------------------------------
 
@@ -370,10 +397,13 @@ SELECT window_start, window_end, model_id, round(root_mean_squared_error, 6) AS
 
 
 def violation(threshold: float) -> str:
-    return f"""WITH {PREDS}, {PROFILE}, {RECENT}
-SELECT CAST(CASE WHEN (SELECT count(*) FROM recent WHERE root_mean_squared_error > {threshold}) >= 2
-            AND (SELECT root_mean_squared_error FROM recent ORDER BY window_start DESC, model_id LIMIT 1) > {threshold}
-       THEN 1 ELSE 0 END AS INTEGER) AS query_result"""
+    """Each metric row gets its age, newest first; one aggregate then looks at ages 1 to 5."""
+    return f"""WITH {PREDS}, {PROFILE}, aged AS (
+  SELECT root_mean_squared_error > {threshold} AS high,
+         row_number() OVER (ORDER BY window_start DESC, model_id) AS age
+  FROM profile WHERE column_name = ':table' AND slice_key IS NULL AND model_id <> '*' AND log_type = 'INPUT')
+SELECT CAST(count(*) FILTER (WHERE high AND age <= 5) >= 2 AND count(*) FILTER (WHERE high AND age = 1) > 0 AS INTEGER)
+       AS query_result FROM aged"""
 
 
 SQL["violation_check"] = violation(100.0)
@@ -406,19 +436,10 @@ base AS (SELECT cell, sum(n) FILTER (WHERE d < TIMESTAMP '2024-01-10') AS b FROM
 shares AS (
   SELECT c.d, c.cell, c.n,
          (c.n + 0.5) / (sum(c.n) OVER (PARTITION BY c.d) + 3.0) AS p,
-         (coalesce(b.b, 0) + 0.5) / (sum(coalesce(b.b, 0)) OVER (PARTITION BY c.d) + 3.0) AS q,
-         sum(c.n) OVER (PARTITION BY c.d ORDER BY c.cell) AS upto
+         (coalesce(b.b, 0) + 0.5) / (sum(coalesce(b.b, 0)) OVER (PARTITION BY c.d) + 3.0) AS q
   FROM counts AS c JOIN base AS b ON b.cell = c.cell),
 psi AS (SELECT d, sum((p - q) * ln(p / q)) AS stability_index FROM shares GROUP BY d),
-hit AS (
-  SELECT s.d, min(s.cell) AS cell FROM shares AS s JOIN days ON days.d = s.d
-  WHERE s.n > 0 AND days.present * 0.5 <= s.upto GROUP BY s.d),
-edges AS (SELECT unnest([10, 10, 25, 50, 100, 200]) AS low, unnest([10, 25, 50, 100, 200, 200]) AS high,
-                 unnest([0, 1, 2, 3, 4, 5]) AS cell),
-pct AS (
-  SELECT h.d, e.low + (days.present * 0.5 - (s.upto - s.n)) / s.n * (e.high - e.low) AS percentile
-  FROM hit AS h JOIN shares AS s ON s.d = h.d AND s.cell = h.cell
-  JOIN edges AS e ON e.cell = h.cell JOIN days ON days.d = h.d)
+pct AS (SELECT d, quantile_disc(fare, 0.5) AS percentile FROM fares GROUP BY d)
 SELECT days.d AS window_start, days.d + INTERVAL '1 day' AS window_end, n_rows AS rows, nulls,
        round(mean, 6) AS mean, round(CAST(percentile AS DOUBLE), 6) AS percentile,
        round(CAST(stability_index AS DOUBLE), 6) AS stability_index

@@ -17,7 +17,7 @@ from tidemark.operators.filters import features_of
 from tidemark.operators.lookup import FeatureLookup, lookup_features, training_set
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.split import hash_split
-from tidemark.session import cut_lineage, use_checkpoints
+from tidemark.session import cut_lineage, require_utc, use_checkpoints
 from tidemark.sources.feature_table import FeatureTable
 
 # Features fetched for a trip, and the columns kept away from its model. Fixed values.
@@ -166,15 +166,21 @@ def fit_forest(
 def train_trip_model(
     trips: DataFrame,
     lookups: Sequence[FeatureLookup],
-    key: str = "trip_id",
+    key: str | None = None,
     rounds: int = 100,
     direction: str = "up",
 ) -> tuple[ScoringModel, DataFrame]:
-    """Fit the fare model on 75 % of the trips; returns it with its metrics on the rest."""
+    """Fit the fare model on 75 % of the trips; returns it with its metrics on the rest.
+
+    Trips are told apart by ``key``, by default ``trip_id`` where they have one, else by the
+    whole row.
+    """
+    require_utc(trips.sparkSession)
+    key = key or ("trip_id" if "trip_id" in trips.columns else None)
     # Stored once: fitting and testing pass over the joined rows several times.
     rows = cut_lineage(trip_training_set(trips, lookups, direction), "training")
     train, test = hash_split(rows, key, 75, 123)
-    inputs = features_of(rows, TRIP_LABEL, (key,))
+    inputs = features_of(rows, TRIP_LABEL, (key,) if key else ())
     # The looked-up features are part of the training rows here, so scoring `test` needs no lookup.
     fitted = fit_boosted(train, TRIP_LABEL, inputs, rounds)
     scored = fitted.score(test)
@@ -199,7 +205,9 @@ def train_sensor_model(
     gold_rows: DataFrame, label: str = SENSOR_LABEL, trees: int = 50
 ) -> tuple[ScoringModel, DataFrame, DataFrame]:
     """Fit the forest on 80 % of the gold rows; returns it, test metrics and an input example."""
-    rows = sensor_training_rows(gold_rows)
+    require_utc(gold_rows.sparkSession)
+    # Stored once: the fit, the metrics and the example would else compute the gold rows again.
+    rows = cut_lineage(sensor_training_rows(gold_rows), "sensor-training")
     train, test = hash_split(rows, "row_key", 80, 42)
     inputs = features_of(rows, label, ("row_key",))
     model = fit_forest(train, label, inputs, trees)

@@ -10,53 +10,46 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.timekeys import month_key
 from tidemark.operators.filters import Bound, months_between, time_range
+from tidemark.operators.keys import unique_rows
 from tidemark.operators.lookup import FeatureLookup
 from tidemark.session import cut_lineage
-from tidemark.sources.tables import column_ddl, ensure_namespace, spread_for_write, table_ident
+from tidemark.sources.tables import column_ddl, ensure_namespace, quoted, same_path, spread_for_write, table_ident, table_location
 
 MONTH = "yyyy_mm"
 KEYS_PROPERTY = "feature.primary_keys"
 TIME_PROPERTY = "feature.timestamp_key"
 
 
-def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pass ``df`` through; its job fails on a null key or on a second row with the same key."""
-    seen = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    null_key = F.lit(False)
-    for key in keys:
-        null_key = null_key | F.col(key).isNull()
-    first = keys[0]
-    checked = (
-        F.when(null_key, F.raise_error(F.lit(f"null in feature key {list(keys)}")))
-        .when(F.col("__seen") > 1, F.raise_error(F.lit(f"duplicate feature key {list(keys)}")))
-        .otherwise(F.col(first))
-    )
-    return df.withColumn("__seen", seen).withColumn(first, checked).select(*df.columns)
-
-
 def merge_rows(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows, plus the current rows whose key does not come in."""
     kept = current.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.select(*current.columns).unionByName(incoming.select(*current.columns))
 
 
+_writing = Lock()
+
+
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions present in the data, for the time of one write."""
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Hold the overwrite mode for one write: ``dynamic`` replaces the partitions in the data only.
+
+    Inserts by name take it from the session alone; the lock keeps writes of other threads out.
+    """
     setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+    with _writing:
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(setting, before)
 
 
 class FeatureTable:
@@ -101,18 +94,24 @@ class FeatureTable:
         table = cls(spark, name)
         if table.keys != [*primary_keys, timestamp_key]:
             raise ValueError(f"{name} exists with other keys: {table.keys}")
+        if location and not same_path(table_location(spark, name), location):
+            raise ValueError(f"{name} exists at {table_location(spark, name)}, not at {location}")
         return table
 
     def read(self, start: Bound = None, end: Bound = None) -> DataFrame:
         """Rows with ``start <= timestamp < end``; only their months are scanned."""
         df = self.spark.table(self.name)
         if start or end:
-            df = df.filter(months_between(start, end, MONTH))
+            kind = df.schema[self.timestamp_key].dataType.simpleString()
+            df = df.filter(months_between(start, end, MONTH, kind))
         return time_range(df, self.timestamp_key, start, end)
 
     def merge(self, df: DataFrame) -> None:
-        """Update rows whose key exists, insert the others; a repeated key is refused."""
-        columns = self.spark.table(self.name).columns
+        """Update rows whose key exists, insert the others; a repeated key is refused.
+
+        A column the table does not have yet is added to it; rows stored before have null there.
+        """
+        columns = self._grown_to(df)
         incoming = unique_rows(_with_month(df, self.timestamp_key).select(*columns), self.keys)
         # Stored once: the month list and the join below both read it.
         incoming = cut_lineage(incoming, "upsert")
@@ -123,15 +122,25 @@ class FeatureTable:
         self._replace_months(merge_rows(touched, incoming, self.keys))
 
     def overwrite(self, df: DataFrame) -> None:
-        """Full refresh: replace every row of the table."""
-        columns = self.spark.table(self.name).columns
+        """Full refresh: replace every row of the table; new columns are added to it."""
+        columns = self._grown_to(df)
         fresh = unique_rows(_with_month(df, self.timestamp_key).select(*columns), self.keys)
-        spread_for_write(fresh, [MONTH]).write.insertInto(self.name, overwrite=True)
+        with _overwrite_mode(self.spark, "static"):
+            spread_for_write(fresh, [MONTH]).write.insertInto(self.name, overwrite=True)
 
     def _replace_months(self, rows: DataFrame) -> None:
-        with _dynamic_overwrite(self.spark):
+        with _overwrite_mode(self.spark, "dynamic"):
             spread_for_write(rows, [MONTH]).write.insertInto(self.name, overwrite=True)
 
+    def _grown_to(self, df: DataFrame) -> list[str]:
+        """The table's columns, after those that only ``df`` has were added."""
+        have = set(self.spark.table(self.name).columns)
+        new = [f for f in df.schema.fields if f.name not in have]
+        if new:
+            added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {table_ident(self.name)} ADD COLUMNS ({added})")
+        return self.spark.table(self.name).columns
+
     def lookup(
         self,
         feature_names: Sequence[str],

@@ -46,7 +46,7 @@ def ensure_namespace(spark: SparkSession, table: str) -> None:
     """Create the schema of a two- or three-part table name; a bare name is refused."""
     parts = table.split(".")
     if len(parts) < 2:
-        raise ValueError(f"table name must be catalog.schema.table or schema.table, got: {table}")
+        raise ValueError(f"{table!r} names no schema; put one in front, as in 'features.{table}'")
     spark.sql("CREATE SCHEMA IF NOT EXISTS " + ".".join(quoted(p) for p in parts[:-1][-2:]))
 
 
@@ -71,14 +71,14 @@ def create_empty_table(spark: SparkSession, name: str, schema: T.StructType = PR
 def register_path(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Give stored Parquet files a table name, and make the catalog see their partitions.
 
-    An earlier registration whose columns no longer fit the files is replaced; only the
-    catalog entry is dropped, never files.
+    An earlier registration of another path, or whose columns no longer fit the files, is
+    replaced; only the catalog entry is dropped, never files.
     """
     ensure_namespace(spark, name)
     if spark.catalog.tableExists(name):
         stored = spark.read.parquet(path).schema
         fits = {(f.name, f.dataType) for f in stored} == {(f.name, f.dataType) for f in spark.table(name).schema}
-        if not fits:
+        if not fits or not same_path(table_location(spark, name), path):
             if spark.catalog.getTable(name).tableType != "EXTERNAL":
                 raise ValueError(f"{name} is a table of its own, not a name for {path}")
             spark.sql(f"DROP TABLE {table_ident(name)}")
@@ -89,6 +89,19 @@ def register_path(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Where the files of a table lie."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table_ident(name)}").where("col_name = 'Location'").first()
+    return found["data_type"] if found else ""
+
+
+def same_path(left: str, right: str) -> bool:
+    def plain(path: str) -> str:
+        return "/" + path.removeprefix("file:").strip("/") if path.startswith(("file:", "/")) else path.rstrip("/")
+
+    return plain(left) == plain(right)
+
+
 def spread_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather each output partition into few files, with large partitions split over tasks."""
     if not partition_by:
@@ -105,12 +118,11 @@ def overwrite_path(
 ) -> None:
     """Replace a stored table; its schema may change.
 
-    With ``only_touched`` just the partitions that have rows in ``df`` are replaced.
+    With ``only_touched`` just the partitions that have rows in ``df`` are replaced. The session's
+    own overwrite mode plays no part.
     """
     writer = spread_for_write(df, partition_by).write.format(fmt).mode("overwrite").partitionBy(*partition_by)
-    if only_touched:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static").save(path)
 
 
 def write_named(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:

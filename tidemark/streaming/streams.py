@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.signals import synth_readings
+from tidemark.operators.filters import rescue_json
 from tidemark.plans import medallion as layers
 from tidemark.plans.medallion import SLIDING_STREAM, TUMBLING, Variant
+from tidemark.session import require_utc
 from tidemark.sources.tables import overwrite_path, register_path
 
 RESCUED = "_rescued_data"
@@ -31,8 +33,12 @@ def file_stream(
 ) -> DataFrame:
     """Files arriving under ``path`` as a stream; replayable, so results repeat.
 
-    ``rescued`` adds a column that takes the whole text of rows that do not fit (JSON, CSV).
+    ``rescued`` adds a column that takes the whole text of rows that do not fit (JSON, CSV) and,
+    for JSON, the fields outside the schema of those that do.
     """
+    if rescued and fmt == "json":
+        lines = file_stream(spark, path, T.StructType().add("value", T.StringType()), "text", max_files_per_trigger)
+        return rescue_json(lines, "value", schema, RESCUED)
     reader = spark.readStream.format(fmt)
     if rescued:
         schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType(), True)])
@@ -95,29 +101,56 @@ def run_sensor_job(
     seconds: int | None = 60,
     schema_name: str = "sensor_streaming",
     refresh_from: str | None = None,
+    rule_counts: dict[str, dict[str, int]] | None = None,
 ) -> DataFrame:
     """Ingest readings for a while, then bring the silver and gold tables up to date.
 
     Returns the registered gold table. ``source`` replaces the synthetic stream. By default
     both tables are rebuilt from all stored readings; ``refresh_from`` ("YYYY-MM") rebuilds
-    only that month and the later ones, from the readings those months need.
+    only that month and the later ones, from the readings those months need. ``rule_counts``
+    gets, by layer, how many rows were checked and how many failed each rule in this run.
     """
+    require_utc(spark)
+    counts = {} if rule_counts is None else rule_counts
     readings = rate_readings(spark, variant) if source is None else source
-    run_bounded(append_sink(layers.bronze(readings, variant), bronze_path, f"{checkpoint_base}/bronze", every), seconds)
+    checked = layers.bronze(readings, variant, "bronze_rules" if variant.bronze_rules else None)
+    query = append_sink(checked, bronze_path, f"{checkpoint_base}/bronze", every)
+    run_bounded(query, seconds)
+    counts["bronze"] = _streamed_counts(query, "bronze_rules")
     bronze = register_path(spark, f"{schema_name}.bronze_sensor_data", bronze_path)
-    silver = layers.silver(_since(bronze, refresh_from, "5 MINUTES"), variant)
+    seen = Observation()
+    silver = layers.silver(_since(bronze, refresh_from, "5 MINUTES"), variant, observe=seen)
     _store_layer(silver, silver_path, refresh_from)
+    counts["silver"] = seen.get if variant.silver_rules else {}
     silver = register_path(spark, f"{schema_name}.silver_sensor_data", silver_path)
-    gold = layers.gold(_since(silver, refresh_from, "1 HOUR"), variant)
+    seen = Observation()
+    gold = layers.gold(_since(silver, refresh_from, "1 HOUR", by_month=True), variant, seen)
     _store_layer(gold, gold_path, refresh_from)
+    counts["gold"] = seen.get if variant.gold_rules else {}
     return register_path(spark, f"{schema_name}.gold_sensor_features", gold_path)
 
 
-def _since(rows: DataFrame, month: str | None, reach: str) -> DataFrame:
-    """Rows that can lie in a window ending in ``month`` or later; ``reach`` is the window size."""
+def _streamed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of a stream's observed counts over its batches (those its progress still lists)."""
+    out: dict[str, int] = {}
+    for progress in query.recentProgress:
+        found = (progress["observedMetrics"] or {}).get(name)
+        for key, n in (found.asDict() if hasattr(found, "asDict") else dict(found or {})).items():
+            out[key] = out.get(key, 0) + n
+    return out
+
+
+def _since(rows: DataFrame, month: str | None, reach: str, by_month: bool = False) -> DataFrame:
+    """Rows that can lie in a window ending in ``month`` or later; ``reach`` is the window size.
+
+    ``by_month`` also names the months needed, so that older partitions are not read.
+    """
     if month is None:
         return rows
-    return rows.filter(F.col("event_time") >= F.lit(f"{month}-01").cast("timestamp") - F.expr(f"INTERVAL {reach}"))
+    first = F.lit(f"{month}-01").cast("timestamp") - F.expr(f"INTERVAL {reach}")
+    if by_month:
+        rows = rows.filter(F.col("yyyy_mm") >= F.date_format(first, "yyyy-MM"))
+    return rows.filter(F.col("event_time") >= first)
 
 
 def _store_layer(rows: DataFrame, path: str, month: str | None) -> None:
