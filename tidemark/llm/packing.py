@@ -84,8 +84,15 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     """Patterns that use every piece once. ``counts``: number of pieces by length.
 
     Longest first, a length takes one, two or three lengths that fill its gap exactly, as often
-    as all of them are left; what has no exact complement is packed by best fit.
+    as all of them are left; what has no exact complement is packed by best fit. Many small
+    pieces spent on exact fits may be missing later, so plans with complements of up to three,
+    two and one lengths are made and the one with the fewest sequences is taken.
     """
+    plans = [_plan(counts, capacity, most) for most in (3, 2, 1)]
+    return min(plans, key=lambda made: sum(p.times for p in made))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[Pattern]:
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         if not 1 <= length <= capacity:
@@ -101,7 +108,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
 
     for length in range(capacity, 0, -1):
         while left[length]:
-            found = _exact(left, length, capacity - length)
+            found = _exact(left, length, capacity - length, most)
             if found is None:
                 break
             use((length, *found))
@@ -119,8 +126,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     return out
 
 
-def _exact(left: np.ndarray, length: int, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to ``gap`` beside ``length``, if any."""
+def _exact(left: np.ndarray, length: int, gap: int, most: int) -> tuple[int, ...] | None:
+    """One to ``most`` (at most three) available lengths that sum to ``gap`` beside ``length``, if any."""
     if gap == 0:
         return ()
     free = left[: gap + 1].copy()
@@ -128,8 +135,8 @@ def _exact(left: np.ndarray, length: int, gap: int) -> tuple[int, ...] | None:
         free[length] -= 1
     if free[gap] > 0:
         return (gap,)
-    pair = _pair(free, gap)
-    if pair:
+    pair = _pair(free, gap) if most > 1 else None
+    if pair or most < 3:
         return pair
     for first in np.flatnonzero(free[:gap] > 0)[::-1].tolist():
         if 3 * first < gap:
