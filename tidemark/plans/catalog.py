@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.signals import synth_readings
 from tidemark.functions.timekeys import epoch_seconds, from_epoch_seconds, month_key, round_to_minutes, weekend_flag
 from tidemark.operators import filters, lookup, metrics, profile, quality, split
-from tidemark.plans import features, medallion, scoring, training
+from tidemark.plans import features, medallion, monitoring, scoring, training
 from tidemark.plans.medallion import SLIDING_BATCH, SLIDING_STREAM, TUMBLING
 from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import sample_views as views
@@ -139,9 +139,13 @@ def _json_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _broken_readings(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_faults(views.readings(spark, folder))
+
+
+def _with_faults(readings: DataFrame) -> DataFrame:
     """Readings of which some have an impossible sensor, no time or no temperature."""
     sensor = F.col("sensor_id")
-    return views.readings(spark, folder).withColumns(
+    return readings.withColumns(
         {
             "event_time": F.when(sensor != 17, F.col("event_time")),
             "temperature": F.when(sensor != 19, F.col("temperature")),
@@ -555,20 +559,71 @@ def drift_by_day(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(profile.drift(holes, PICKUP, "fare_amount", [10, 25, 50, 100, 200], RANGE[0]))
 
 
-# --- models (no SQL form) ---------------------------------------------------------------
+@query
+def profile_refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored profile brought up to date from one day on; the same as one over everything."""
+    name = f"default.preds_{uuid.uuid4().hex}"
+    rows = views.predictions(spark, folder)
+    tables.write_named(filters.time_range(rows, "timestamp", None, "2024-01-15 12:00:00"), name)
+    monitoring.refresh_profile(spark, name)
+    tables.write_named(filters.time_range(rows, "timestamp", "2024-01-15 12:00:00"), name, "append")
+    target = monitoring.refresh_profile(spark, name, since="2024-01-15")
+    stored = cut_lineage(tables.read_table(spark, target), "profile")
+    for table in (name, target):
+        spark.sql(f"DROP TABLE {table}")
+    return _flat(stored)
+
+
+# --- models: what SQL can repeat of their test rows ---------------------------------------
+
+
+JUDGED_FROM = 30  # test rows; with fewer the score is chance
+
+
+def _test_summary(scores: DataFrame) -> DataFrame:
+    """Which rows were tested, and whether the model beat the mean of their labels."""
+    return scores.select(
+        "example_count",
+        F.round("sum_on_target", 2).alias("label_sum"),
+        F.round("mean_on_target", 4).alias("label_mean"),
+        ((F.col("r2_score") > 0) | (F.col("example_count") < JUDGED_FROM)).alias("beats_mean"),
+    )
+
 
 
 @query
 def train_score_forest(spark: SparkSession, folder: str) -> DataFrame:
     gold = cut_lineage(medallion.medallion(views.readings(spark, folder), SLIDING_BATCH), "gold")
     _, scores, _ = training.train_sensor_model(gold)
-    return scores
+    return _test_summary(scores)
 
 
 @query
 def train_score_boosted(spark: SparkSession, folder: str) -> DataFrame:
     _, scores = training.train_trip_model(views.trips(spark, folder), _lookups(spark, folder))
-    return scores
+    return _test_summary(scores)
+
+
+@query
+def score_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Train, save, load and score a named table into another; what the stored predictions hold."""
+    trips, tag = views.trips(spark, folder), uuid.uuid4().hex
+    inputs = ["trip_distance", "pickup_zip", "dropoff_zip"]
+    path, asked, scored = scratch_path(spark, "model"), f"default.asked_{tag}", f"default.scored_{tag}"
+    training.fit_boosted(trips, training.TRIP_LABEL, inputs, rounds=3).save(spark, path)
+    tables.write_named(scoring.scoring_input(trips), asked)
+    out = scoring.predict_batch(spark, path, asked, scored, 7, "2024-02-01 11:00:00")
+    summary = out.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("prediction").isNull()).alias("without_prediction"),
+        F.countDistinct("trip_id").alias("trips"),
+        F.min("model_id").cast("int").alias("model_id"),
+        F.max("timestamp").cast("timestamp_ntz").alias("timestamp"),
+    )
+    stored = cut_lineage(summary, "scored")
+    for table in (asked, scored):
+        spark.sql(f"DROP TABLE {table}")
+    return stored
 
 
 # --- streams ----------------------------------------------------------------------------
@@ -588,8 +643,8 @@ def _run_to_end(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame
 
 @query
 def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event once through a file stream into the bronze files."""
-    return rounded(_run_to_end(spark, medallion.bronze(_readings_stream(spark, folder), TUMBLING), "bronze"))
+    """Every event once through a file stream and the first layer's rules into the bronze files."""
+    return rounded(_run_to_end(spark, medallion.bronze(_with_faults(_readings_stream(spark, folder)), TUMBLING), "bronze"))
 
 
 @query

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.operators.filters import time_range
 from tidemark.operators.profile import error_profile, is_violated, violation_check
-from tidemark.session import require_utc
+from tidemark.session import cut_lineage, require_utc
 from tidemark.sources.tables import read_table, write_named
 
 PROFILE_SUFFIX = "_profile_metrics"
@@ -19,12 +21,26 @@ def refresh_profile(
     prediction: str = "prediction",
     label: str = "fare_amount",
     granularity: str = "1 day",
+    since: str | None = None,
 ) -> str:
-    """Recompute the profile of ``table`` into ``<table>_profile_metrics``; returns that name."""
+    """Recompute the profile of ``table`` into ``<table>_profile_metrics``; returns that name.
+
+    With ``since``, the start of a window, only predictions from then on are read; the stored
+    metric rows of earlier windows stay as they are.
+    """
     require_utc(spark)
-    profile = error_profile(read_table(spark, table), ts, model, prediction, label, granularity)
-    write_named(profile, table + PROFILE_SUFFIX)
-    return table + PROFILE_SUFFIX
+    rows, target = read_table(spark, table), table + PROFILE_SUFFIX
+    profile = error_profile(time_range(rows, ts, since), ts, model, prediction, label, granularity)
+    if since and spark.catalog.tableExists(target):
+        first = F.lit(since).cast(profile.schema["window"].dataType["start"].dataType)
+        inside = profile.where(F.col("window.start") < first)
+        if not inside.isEmpty():
+            raise ValueError(f"{since} is not the start of a window of {granularity}")
+        # A small table: a line per window and model. Stored before it replaces what it reads.
+        old = read_table(spark, target).where(F.col("window.start") < first)
+        profile = cut_lineage(old.unionByName(profile), "profile")
+    write_named(profile, target)
+    return target
 
 
 def must_retrain(

