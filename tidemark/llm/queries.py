@@ -76,7 +76,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     found = warc.read(archives, keep_payload=False)
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+    sound = F.when(F.col("problem").isNull(), F.col("payload_digest")).otherwise(F.raise_error("problem"))
+    return found.select("page_id", "payload_bytes", sound.alias("payload_digest"), "record_type", "refers_to")
+
+
+SQL["op7_warc"] = """WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload,
+         CASE WHEN strlen(coalesce(html, '')) >= 100 THEN min(page_id) OVER (PARTITION BY coalesce(html, '')) END AS first
+  FROM pages)
+SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM payloads"""
 
 
 TOXIC_FROM = 0.5
@@ -110,3 +121,26 @@ URL_RULES = [
 @query
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+def _url_sql() -> str:
+    """Each listed rule by a suffix and a prefix test, longest first; words as parts of host labels."""
+    cases, verdicts = [], []
+    for name, verdict in sorted(LISTED, key=lambda rule: -len(rule[0])):
+        host, _, path = name.partition("/")
+        cases.append(f"WHEN ends_with('.' || host, '.{host}') AND starts_with(path, '/{path}') THEN '{name}'")
+        verdicts.append(f"WHEN '{name}' THEN '{verdict}'")
+    words = "|".join(BLOCKED_WORDS)
+    return f"""WITH parts AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages), ruled AS (SELECT *, CASE {' '.join(cases)} END AS rule FROM parts)
+SELECT page_id, host, path, rule,
+       CASE rule {' '.join(verdicts)}
+       ELSE CASE WHEN regexp_matches(host, '(^|[.-])({words})([.-]|$)') THEN 'block' ELSE 'allow' END END AS verdict
+FROM ruled"""
+
+
+SQL["op10_url_rules"] = _url_sql()
