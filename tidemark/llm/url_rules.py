@@ -55,14 +55,17 @@ def path_of(url: Column) -> Column:
 
 
 def token_counts(urls: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
-    """In how many rows each token of the rules occurs; no more rows than the rules have tokens."""
+    """In how many rows each token of the rules occurs; no more rows than the rules have tokens.
+
+    Tokens are summed per task before any meet, so a token of every url costs no more than others.
+    """
     wanted = sorted({t for r in rules for t in r.tokens})
     spark = urls.sparkSession
     found = (
         urls.select(F.explode(F.array_distinct(F.split(F.lower(F.concat("host", "path")), "[^a-z0-9]+"))).alias("token"))
-        .join(spark.createDataFrame([(t,) for t in wanted], "token string"), "token")
         .groupBy("token")
         .count()
+        .join(spark.createDataFrame([(t,) for t in wanted], "token string"), "token")
     )
     return {t: 0 for t in wanted} | {r["token"]: r["count"] for r in found.collect()}
 
