@@ -201,6 +201,11 @@ def test_trip_model_from_stored_features_to_predictions(spark):
     days = {(r["window"].start.day, r["model_id"]) for r in spark.table(profiled).collect()}
     assert days == {(1, "7"), (2, "8"), (1, "*"), (2, "*")}
     assert monitoring.must_retrain(spark, f"{base}.labelled", threshold=0.0) is True
+    before = rows(spark.table(profiled), "window", "model_id")
+    monitoring.refresh_profile(spark, f"{base}.labelled", since="2024-02-02")
+    assert rows(spark.table(profiled), "window", "model_id") == before
+    with pytest.raises(ValueError, match="not the start"):
+        monitoring.refresh_profile(spark, f"{base}.labelled", since="2024-02-01 05:00:00")
 
     tables.as_view(trips, "validation_trips")
     result = validation.validate_trip_model(spark, model, "SELECT * FROM validation_trips", run_mode="dry_run")

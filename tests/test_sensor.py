@@ -167,14 +167,19 @@ def test_sensor_job_end_to_end(spark, variant):
         return streams.run_sensor_job(
             spark, f"{base}/bronze", f"{base}/silver", f"{base}/gold", f"{base}/check", variant,
             source=streams.stored_stream(spark, source), every=None, seconds=None, schema_name=schema_name,
+            rule_counts=counts,
         )
 
     order = ["sensor_id", "event_time"]
     expected = medallion.medallion(data, variant)
+    counts = {}
     for _ in range(2):  # a second run finds nothing new and rebuilds the same tables
         gold = run()
         same = ["sensor_id", "event_time", "yyyy_mm", F.round("mean_temp_1h", 8), "last_pressure_1h", "total_records_1h"]
         assert rows(gold.select(*same), *order) == rows(expected.select(*same), *order)
+        if variant.silver_rules:
+            assert counts["silver"]["checked"] == data.count()
+            assert counts["gold"].get("failed_non_null_avg_temp", 0) == 0
     assert spark.table(f"{schema_name}.silver_sensor_data").count() > gold.count()
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.signals import synth_readings
 from tidemark.functions.timekeys import epoch_seconds, from_epoch_seconds, month_key, round_to_minutes, weekend_flag
 from tidemark.operators import filters, lookup, metrics, profile, quality, split
-from tidemark.plans import features, medallion, monitoring, scoring, training
+from tidemark.plans import features, medallion, monitoring, scoring, training, validation
 from tidemark.plans.medallion import SLIDING_BATCH, SLIDING_STREAM, TUMBLING
 from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import sample_views as views
@@ -517,6 +517,20 @@ def baseline_compare(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.compare_models(rows, limits, candidate=2, baseline=1))
 
 
+@query
+def validation_modes(spark: SparkSession, folder: str) -> DataFrame:
+    """What a validation run says in each of its modes, with limits and metrics taken by name."""
+    lines = []
+    for mode in validation.RUN_MODES:
+        try:
+            result = validation.validate_predictions(views.predictions(spark, folder), "fare_amount", mode)
+            checks = result.checks.count() if result.checks is not None else 0
+            lines.append((mode, checks, result.passed, False))
+        except validation.ValidationFailed:
+            lines.append((mode, 0, False, True))
+    return spark.createDataFrame(lines, "mode string, checks int, passed boolean, refused boolean")
+
+
 # --- monitoring -------------------------------------------------------------------------
 
 
@@ -656,6 +670,14 @@ def stream_json_rescue(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_run_to_end(spark, stream, "rescued"))
 
 
+@query
+def stream_stored_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored layer read as a stream, appended file by file, and read again as a table."""
+    path = scratch_path(spark, "silver")
+    tables.overwrite_path(medallion.silver(views.readings(spark, folder), TUMBLING), path)
+    return settled(_run_to_end(spark, streams.stored_stream(spark, path), "again"))
+
+
 @query
 def stream_silver_closed(spark: SparkSession, folder: str) -> DataFrame:
     """The windows a stream has closed: those that end at or before the watermark."""

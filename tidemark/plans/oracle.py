@@ -465,3 +465,9 @@ WHERE std_temp_1h IS NOT NULL AND {hash_number("sensor_id || '|' || strftime(eve
 SQL["score_table"] = """
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS without_prediction, count(DISTINCT event_id) AS trips,
        CAST(7 AS INTEGER) AS model_id, TIMESTAMP '2024-02-01 11:00:00' AS timestamp FROM events"""
+SQL["validation_modes"] = f"""WITH {PREDS}, measured AS (
+  SELECT max(abs(prediction - fare_amount)) <= 500 AND avg((prediction - fare_amount) ** 2) <= 500 AS ok FROM preds)
+SELECT 'disabled' AS mode, CAST(0 AS INTEGER) AS checks, CAST(NULL AS BOOLEAN) AS passed, FALSE AS refused
+UNION ALL SELECT 'dry_run', 2, ok, FALSE FROM measured
+UNION ALL SELECT 'enabled', CASE WHEN ok THEN 2 ELSE 0 END, ok, NOT ok FROM measured"""
+SQL["stream_stored_silver"] = SQL["silver_tumbling"]
