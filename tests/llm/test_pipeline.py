@@ -1,0 +1,90 @@
+"""The whole pipeline against its stages written in plain Python."""
+
+import random
+import zlib
+
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+from test_models_of_text import toxic_sample
+from test_near_copies import brute_groups, brute_repeats
+from tokenizers import Tokenizer
+
+from tidemark.llm import decontaminate, simhash, toxicity
+from tidemark.session import scratch_path
+
+
+def fixture():
+    rng = random.Random(11)
+    rows, labels = toxic_sample(500)
+    texts = {i: t for i, t, _ in rows}
+    word = lambda: f"p{rng.randrange(5000)}"
+    passage = " ".join(word() for _ in range(60))
+    items = [(i, " ".join(word() for _ in range(35))) for i in range(5)]
+    clean = [i for i, bad in labels if not bad]
+    for n, i in enumerate(clean[:60]):
+        texts[1000 + n] = texts[i]  # exact copies
+        texts[2000 + n] = texts[i] + " w1"  # near copies
+    for n in range(40):
+        texts[3000 + n] = f"{' '.join(word() for _ in range(30))}\n{passage}\n{' '.join(word() for _ in range(30))}"
+    for n in range(15):
+        copy = [w if rng.random() > 0.1 else word() for w in items[n % 5][1].split()]
+        texts[4000 + n] = " ".join([word() for _ in range(50)] + copy + [word() for _ in range(20)])
+    texts |= {5000: None, 5001: "", 5002: passage, 5003: "é" * 5000, 5004: " ".join(word() for _ in range(9000))}
+    return texts, labels, items
+
+
+def test_pipeline_equals_plain_python(spark):
+    texts, labels, items = fixture()
+    folder = scratch_path(spark, "pipeline-test")
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in texts.items()],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    label_rows = spark.createDataFrame(labels, "doc_id long, toxic int").withColumn("quality", F.lit(1))
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    for name, rows in (("documents", docs), ("labels", label_rows), ("benchmark", tests)):
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    found = corpus_pipeline.run(spark, folder).collect()
+
+    model = toxicity.fit(docs, label_rows)
+    left = {i: t for i, t in texts.items() if model.score(np.array([model.differences(t)]))[0] < 0.5}
+    assert 50 < len(texts) - len(left) < 250
+    label = brute_groups({i: simhash.fingerprint(t) for i, t in left.items()}, 2)
+    left = {i: t for i, t in left.items() if label[i] == i}
+    assert not any(1000 <= i < 2000 for i in left)
+    cut = brute_repeats(list(left.items()), 100)
+    left = {i: cut[i][3].decode("utf-8", "ignore") if t else t for i, t in left.items()}
+    left = {i: t for i, t in left.items() if t or not texts[i]}
+    assert 3000 in left and 3001 in left and len(left[3001]) < len(left[3000]) and 5002 not in left
+    before = set(left)
+    for i, t in list(left.items()):
+        for _, item in items:
+            words = decontaminate.words_of(item)
+            if decontaminate.align(decontaminate.words_of(t), words)[0] >= 0.4 * decontaminate.MATCH * len(words):
+                left.pop(i, None)
+    # Of several edits of an item, the stage before has cut what the later ones share with the first.
+    assert {4000, 4001, 4002, 4003, 4004}.isdisjoint(left) and all(i >= 4000 for i in before - set(left))
+
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = set()
+    for i, t in left.items():
+        ids = np.array([*tokens.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        at, piece = 0, 0
+        while at < len(ids):
+            end = at + ((len(ids) - at) % 2048 or 2048)
+            expected.add((i, piece, at, end - at, zlib.crc32(ids[at:end].tobytes())))
+            at, piece = end, piece + 1
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found} == expected
+    assert len(found) == len(expected)
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(sequences) <= -(-sum(r.length for r in found) // 2048) + 2

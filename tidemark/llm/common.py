@@ -23,10 +23,11 @@ def long_id(df: DataFrame, name: str = "doc_id") -> Column:
 
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of ids that nothing may learn from; a null id is held out too."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % LEARN_FOLDS == 0
+    return fold(doc_id) == 0
 
 
 def fold(doc_id: Column) -> Column:
+    """Fold 0 to 4 of an id; 0 for a null."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % LEARN_FOLDS
 
 
@@ -38,7 +39,3 @@ def kept(df: DataFrame) -> DataFrame:
     """
     use_checkpoints(df.sparkSession)
     return df.checkpoint()
-
-
-def shuffle_slots(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,7 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept
@@ -172,14 +172,14 @@ def fit(labelled: DataFrame, max_grams: int = MAX_GRAMS) -> Model | None:
     return Model(languages, orders)
 
 
-def predict(docs: DataFrame, model: Model | None, has_letter: Column | None = None) -> DataFrame:
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every row, from the whole text alone.
 
     ``score`` is the probability of the language if all are equally likely beforehand. A text
     that is null or has no letter is ``und`` with score 0, and so is any text without a model.
     Ties go to the first language by name.
     """
-    letter = F.coalesce(F.col("text").rlike(r"\p{L}") if has_letter is None else has_letter, F.lit(False))
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long"), "text", letter.alias("letter"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -14,7 +14,7 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept
@@ -25,6 +25,7 @@ SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # (first bit, width)
 MAX_BITS = 2
 PAIRS_PER_KEY = 4096
+ColumnOrName = Column | str
 _BLOCK = 1 << 16
 
 
@@ -85,12 +86,8 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, pairs_per_key: int =
         .where(f"a < b and bit_count(a ^ b) <= {max_bits}")
         .distinct()
     )
-    if max_bits < 2:
-        radius = 0 if max_bits == 0 else 1
-    else:
-        radius = 1
     members = keyed.join(shared.where(many).select("key"), "key").select("fp").distinct()
-    words = members.select("fp", F.explode(F.expr(_neighbourhood(radius))).alias("word"))
+    words = members.select("fp", F.explode(F.expr(_neighbourhood(min(max_bits, 1)))).alias("word"))
     if max_bits == 1:  # words within one bit would join fingerprints two bits apart
         pairs = words.join(members.select(F.col("fp").alias("word")), "word", "left_semi")
         dense = pairs.where("fp <> word").select(F.col("fp").alias("a"), F.col("word").alias("b"))
@@ -128,7 +125,8 @@ def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) ->
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def hex_print(fp) -> F.Column:  # type: ignore[name-defined]
+def hex_print(fp: ColumnOrName) -> Column:
+    """Sixteen lower-case hexadecimal digits of a fingerprint."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
