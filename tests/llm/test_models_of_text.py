@@ -130,6 +130,33 @@ def test_toxicity_without_usable_labels(spark):
     assert toxicity.score(docs.limit(0), None).collect() == []
 
 
+def test_rare_toxic_words_carry_evidence(spark):
+    """Words of five toxic documents, three or so of them learned from."""
+    rows, labels, n = [], [], 0
+    for i in range(400):
+        words = [f"w{(i * 7 + j * j) % 300}" for j in range(1500)]
+        if i % 4 == 0:
+            words[700] = f"slur{n // 5}"
+            n += 1
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, int(i % 4 == 0)))
+    docs, label_rows = docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, label_rows)
+    got = {f"slur{i}": model.differences(f"slur{i}")[0] for i in range(20)}
+    assert sum(e > 1 for e in got.values()) >= 14
+
+
+def test_words_beyond_the_broadcast_size_are_joined(spark):
+    rows, labels = toxic_sample(400)
+    rows += [(2000 + i, t, None) for i, t in ODD] + [(2000, None, None), (1, rows[0][1], "x")]
+    docs, label_rows = docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    sent, kept = (toxicity.fit(docs, label_rows, broadcast_values=n) for n in (10_000, 2))
+    assert sent.words is not None and kept.words is None
+    a, b = (sorted(((r.doc_id or -1, r.lang or "", r.score) for r in toxicity.score(docs, m).collect())) for m in (sent, kept))
+    assert [x[:2] for x in a] == [x[:2] for x in b] and len(a) == len(rows)
+    assert [x[2] for x in a] == pytest.approx([x[2] for x in b], abs=1e-6)
+
+
 def test_label_bound_takes_a_hashed_share(spark):
     rows, labels = toxic_sample(600)
     some = toxicity.labelled_rows(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), 100)
