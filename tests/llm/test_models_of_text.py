@@ -67,6 +67,25 @@ def test_code_lengths_are_exact(spark):
         assert found == pytest.approx([brute_bits(learned[la], text) for la in model.languages], rel=1e-5)
 
 
+@pytest.mark.parametrize("cells", [language.MAX_CELLS, 8])
+def test_rare_strings_of_a_large_language_keep_their_counts(spark, cells):
+    learned = {"aa": ["ab " * 90_000 + "zyxw abq"], "bb": ["zyx ab"]}
+    rows = [(n, t, la) for n, (la, ts) in enumerate(learned.items()) for t in ts]
+    model = language.fit(docs_of(spark, rows).select("lang", "text"), cells)
+    assert (len(model.parts) > 1) == (cells == 8)
+    texts = ["zyxw", "abq", "ab zyx", "new é ab"]
+    expected = [[brute_bits(learned[la], t) for la in model.languages] for t in texts]
+    for text, bits in zip(texts, expected, strict=True):
+        grams = next(language._blocks([text]))[1]
+        assert model.code_lengths(grams).sum(axis=0) == pytest.approx(bits, rel=1e-5)
+    asked = docs_of(spark, [(i, t, None) for i, t in enumerate(texts)] + [(0, texts[0], None), (None, None, None)])
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.lang_pred, r.score) for r in language.predict(asked, model).collect())
+    assert got[0] == (-1, "und", 0.0) and len(got) == 6 and got[1] == got[2]
+    for (_, name, score), bits in zip(got[2:], expected, strict=True):
+        assert name == model.languages[bits.index(min(bits))]
+        assert score == pytest.approx(1 / sum(2 ** (min(bits) - b) for b in bits), rel=1e-3)
+
+
 def test_languages_of_held_out_documents(spark):
     docs = table(spark, SMALL, "documents")
     model = language.fit(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))

@@ -15,6 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from tidemark.llm.common import kept
 from tidemark.llm.lookup_table import KeyTable
 
 ORDER = 3
-MAX_GRAMS = 1 << 17
+MAX_CELLS = 1 << 22
 MAX_LANGUAGES = 500
 UNDETERMINED = "und"
 _BLOCK = 1 << 19
@@ -99,11 +100,11 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 class Model:
-    """Code lengths in bits for all languages at once."""
+    """Code lengths in bits for all languages at once, after the context bytes of ``mine``."""
 
-    def __init__(self, languages: list[str], orders: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, languages: list[str], orders: list[tuple[np.ndarray, np.ndarray]], mine: np.ndarray):
         """``orders``: by context length, the byte strings and their counts by language."""
-        self.languages = languages
+        self.languages, self.mine = languages, mine
         self.tables, self.bits, self.context_tables, self.escapes = [], [], [], []
         shorter, shorter_table = np.full((1, len(languages)), 8.0), None
         for order, (grams, counts) in enumerate(orders):
@@ -124,9 +125,11 @@ class Model:
             shorter, shorter_table = bits, self.tables[-1]
 
     def code_lengths(self, grams: np.ndarray) -> np.ndarray:
-        """Bits of the last byte of each gram after the others, by language."""
+        """Bits of the last byte of each gram after the others, by language; 0 for those of other models."""
         out = np.zeros((len(grams), len(self.languages)), np.float32)
-        left, keys = np.arange(len(grams)), grams.astype(np.uint64)
+        keys = grams.astype(np.uint64)
+        left = np.flatnonzero(self.mine[(keys >> np.uint64(8)) & np.uint64(255)])
+        keys = keys[left]
         for order in range(len(self.tables) - 1, -1, -1):
             keys = keys & np.uint64((1 << 8 * (order + 1)) - 1)
             at = self.tables[order].find(keys)
@@ -142,68 +145,134 @@ class Model:
         return out
 
 
-def fit(labelled: DataFrame, max_grams: int = MAX_GRAMS) -> Model | None:
+class Models:
+    """Models of disjoint sets of bytes before the coded one; every context lies in one of them."""
+
+    def __init__(self, languages: list[str], parts: list[Broadcast]):
+        self.languages, self.parts = languages, parts
+
+    def code_lengths(self, grams: np.ndarray) -> np.ndarray:
+        return reduce(np.add, (part.value.code_lengths(grams) for part in self.parts))
+
+
+def fit(labelled: DataFrame, max_cells: int = MAX_CELLS) -> Models | None:
     """Count over every row of ``labelled(lang, text)``; None where nothing can be learned.
 
-    Of a language's strings of one length, those with less than 1 / ``max_grams`` of their total
-    are left to shorter contexts, so at most ``max_grams`` remain however large the input: the
-    model that reaches the driver and the tasks has a fixed bound.
+    Every string keeps its count. A context and the shorter ones it escapes to end in the same
+    byte, so strings are dealt by it into models of about ``max_cells`` strings times languages
+    (more if one byte has more), which are made and sent to the tasks one after another.
     """
     rows = labelled.where("lang is not null and length(text) > 0")
     counted = kept(gram_counts(rows))
-    totals = {r[0]: r[1] for r in counted.groupBy("lang").agg(F.sum("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(totals) > MAX_LANGUAGES:
+    languages = sorted(r[0] for r in counted.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages; each has a model in every task")
-    if not totals:
+    if not languages:
         return None
-    languages = sorted(totals)
-    size = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    orders = []
-    for order in range(ORDER + 1):
-        by = counted.withColumn("gram", F.col("gram").bitwiseAND((1 << 8 * (order + 1)) - 1))
-        sums = by.groupBy("lang", "gram").agg(F.sum("n").alias("n")) if order < ORDER else by
-        found = sums.join(size, "lang").where(F.col("n") * max_grams >= F.col("total")).select("lang", "gram", "n").toArrow()
-        grams, row = np.unique(found["gram"].to_numpy(), return_inverse=True)
-        number = {la: i for i, la in enumerate(languages)}
-        column = np.array([number[la] for la in found["lang"].to_pylist()], dtype=np.int64)
-        counts = np.zeros((len(grams), len(languages)))
-        counts[row, column] = found["n"].to_numpy()
-        orders.append((grams.astype(np.uint64), counts))
-    return Model(languages, orders)
-
-
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    before = F.shiftright("gram", 8).bitwiseAND(255)
+    sizes = counted.select("gram").distinct().groupBy(before.alias("before")).count().collect()  # at most 256 rows
+    groups: list[list[int]] = []
+    size = 0
+    for byte, n in sorted(tuple(r) for r in sizes):
+        if not groups or size + n * len(languages) > max_cells:
+            groups.append([])
+            size = 0
+        groups[-1].append(byte)
+        size += n * len(languages)
+    single = _counts(counted, 0, languages)
+    parts = []
+    for n, group in enumerate(groups):
+        mine = np.zeros(256, bool)
+        mine[group] = True
+        if n == 0:  # bytes that were never seen before another
+            mine |= ~np.isin(np.arange(256), [b for g in groups for b in g])
+        some = counted if len(groups) == 1 else counted.where(before.isin(group))
+        orders = [single, *(_counts(some, order, languages) for order in range(1, ORDER + 1))]
+        parts.append(labelled.sparkSession.sparkContext.broadcast(Model(languages, orders, mine)))
+    return Models(languages, parts)
+
+
+def _counts(counted: DataFrame, order: int, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The strings of a context length and the byte after it, and their counts by language."""
+    by = counted.withColumn("gram", F.col("gram").bitwiseAND((1 << 8 * (order + 1)) - 1))
+    found = (by.groupBy("lang", "gram").agg(F.sum("n").alias("n")) if order < ORDER else by).select("lang", "gram", "n").toArrow()
+    grams, row = np.unique(found["gram"].to_numpy(), return_inverse=True)
+    number = {la: i for i, la in enumerate(languages)}
+    column = np.array([number[la] for la in found["lang"].to_pylist()], dtype=np.int64)
+    counts = np.zeros((len(grams), len(languages)))
+    counts[row, column] = found["n"].to_numpy()
+    return grams.astype(np.uint64), counts
+
+
+def _text_bits(model: Model, texts: list[str]) -> np.ndarray:
+    """Code length of each text, by language."""
+    out = np.zeros((len(texts), len(model.languages)))
+    for numbers, grams, starts in _blocks(texts):
+        ends = np.append(starts[1:], len(grams))
+        bits = np.zeros((len(starts), len(model.languages)))
+        for lo in range(0, len(grams), _BLOCK):
+            part = model.code_lengths(grams[lo : lo + _BLOCK])
+            first = np.clip(starts - lo, 0, len(part))
+            some = np.flatnonzero(np.clip(ends - lo, 0, len(part)) > first)
+            bits[some] += np.add.reduceat(part, first[some], axis=0, dtype=np.float64)
+        out[numbers] = bits
+    return out
+
+
+def predict(docs: DataFrame, model: Models | None) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every row, from the whole text alone.
 
     ``score`` is the probability of the language if all are equally likely beforehand. A text
     that is null or has no letter is ``und`` with score 0, and so is any text without a model.
-    Ties go to the first language by name.
+    Ties go to the first language by name. With several models the texts are read once for each
+    and their code lengths summed; two hashes stand for a text then.
     """
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long"), "text", letter.alias("letter"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    languages, parts = (model.languages, model.parts) if model else ([], [])
+
+    def judged(keys: pa.Array, at: list[int], bits: np.ndarray) -> pa.RecordBatch:
+        names, scores = [UNDETERMINED] * len(keys), np.zeros(len(keys))
+        if at:
+            best = bits.argmin(axis=1)
+            odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0)).sum(axis=1)
+            for i, b, s in zip(at, best.tolist(), (1 / odds).tolist(), strict=True):
+                names[i], scores[i] = languages[b], s
+        return pa.RecordBatch.from_arrays(
+            [keys, pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             texts, letters = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            at = [i for i, ok in enumerate(letters) if ok and model is not None]
-            for numbers, grams, starts in _blocks([texts[i] for i in at]):
-                ends = np.append(starts[1:], len(grams))
-                bits = np.zeros((len(starts), len(model.languages)))
-                for lo in range(0, len(grams), _BLOCK):
-                    part = model.code_lengths(grams[lo : lo + _BLOCK])
-                    first = np.clip(starts - lo, 0, len(part))
-                    some = np.flatnonzero(np.clip(ends - lo, 0, len(part)) > first)
-                    bits[some] += np.add.reduceat(part, first[some], axis=0, dtype=np.float64)
-                best = bits.argmin(axis=1)
-                odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0)).sum(axis=1)
-                for i, b, s in zip(numbers.tolist(), best.tolist(), (1 / odds).tolist(), strict=True):
-                    names[at[i]], scores[at[i]] = model.languages[b], s
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(scores)],
-                names=["doc_id", "lang_pred", "score"],
-            )
-
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+            at = [i for i, ok in enumerate(letters) if ok and parts]
+            yield judged(batch.column(0), at, _text_bits(parts[0].value, [texts[i] for i in at]) if at else np.zeros(0))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = batch.column(1).to_pylist()
+            at = [i for i, b in enumerate(bits) if b is not None]
+            yield judged(batch.column(0), at, np.array([bits[i] for i in at]))
+
+    result = "doc_id long, lang_pred string, score double"
+    if len(parts) <= 1:
+        return rows.mapInArrow(run, result)
+    keyed = rows.withColumns({"a": F.xxhash64("text"), "b": F.xxhash64(F.lit(1), "text")})
+    read = keyed.where("letter").select("a", "b", "text")
+    lengths = reduce(DataFrame.union, (read.mapInArrow(_measured(part), "a long, b long, bits array<double>") for part in parts))
+    copies = F.count(F.lit(1)) / len(parts)
+    sums = F.array(*(F.sum(F.col("bits")[i]) / copies for i in range(len(languages))))
+    found = lengths.groupBy("a", "b").agg(sums.alias("bits"))
+    return keyed.select("doc_id", "a", "b").join(found, ["a", "b"], "left").select("doc_id", "bits").mapInArrow(judge, result)
+
+
+def _measured(part: Broadcast):
+    """A task that gives the code lengths of texts under one model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = _text_bits(part.value, batch.column(2).to_pylist())
+            made = pa.array(bits.tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=["a", "b", "bits"])
+
+    return run
