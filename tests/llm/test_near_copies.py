@@ -104,6 +104,14 @@ def test_groups_of_repeated_rows_and_of_nothing(spark):
         simhash.near_links(frame(spark, []), 3)
 
 
+def test_rows_without_an_id_stay(spark):
+    docs = frame(spark, [(1, "a b c d"), (2, "A  b c d"), (None, "a b c d"), (None, "quite another text here"), (None, None)])
+    kept = simhash.one_of_each(docs, simhash.near_groups(docs))
+    expected = [(1, "a b c d"), (None, "a b c d"), (None, "quite another text here"), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(expected, key=str)
+    assert kept.columns == docs.columns
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}

@@ -163,6 +163,10 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group; the other columns stay."""
+    """The rows of ``docs`` whose doc_id is the smallest of its group; the other columns stay.
+
+    A row without a doc_id cannot be named as the copy of another and stays.
+    """
     heads = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(heads, "doc_id", "left_semi").select(*docs.columns)
+    found = docs.join(heads, "doc_id", "left_semi").select(*docs.columns)
+    return found.union(docs.where("doc_id is null"))
