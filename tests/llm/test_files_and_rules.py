@@ -232,6 +232,19 @@ def test_pieces_and_places(spark):
     assert packing.pack(pieces.limit(0)).collect() == []
 
 
+def test_added_tokens_in_texts_are_one_id(spark):
+    """The query's rows against tokenizers as it is set by default."""
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n  y", "<|endoftext", " don't<|endoftext|> 12", None, ""]
+    folder = scratch_path(spark, "added-tokens")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in queries.op6_packing(spark, folder).collect()}
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i, t in enumerate(texts):
+        ids = np.array([*tokens.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_cover_their_whole_tables(spark, name):
     found = queries.QUERIES[name](spark, SMALL)

@@ -8,10 +8,11 @@ length, so no piece passes through the driver.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, partial
 from pathlib import Path
 
 import numpy as np
@@ -26,28 +27,47 @@ END_ID = 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def added_tokens(tokenizer_file: str) -> tuple[tuple[str, int], ...]:
+    """Texts and ids of the added tokens of a tokenizers JSON, which it finds in any text before it splits.
+
+    Tokens that take spaces with them, or only whole words, are refused.
+    """
+    found = json.loads(Path(tokenizer_file).read_text(encoding="utf-8")).get("added_tokens") or []
+    odd = [t["content"] for t in found if t["single_word"] or t["lstrip"] or t["rstrip"]]
+    if odd:
+        raise ValueError(f"added tokens that depend on their surroundings: {odd}")
+    return tuple((t["content"], t["id"]) for t in found)
+
+
 @cache
-def _encoder(ranks_file: str, pattern: str):
+def _encoder(ranks_file: str, pattern: str, added: tuple[tuple[str, int], ...]):
     import tiktoken
 
     lines = Path(ranks_file).read_bytes().splitlines()
     ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line)}
-    return tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
 def token_pieces(
-    docs: DataFrame, ranks_file: str, pattern: str, capacity: int = CAPACITY, with_ids: bool = False
+    docs: DataFrame,
+    ranks_file: str,
+    pattern: str,
+    capacity: int = CAPACITY,
+    with_ids: bool = False,
+    added: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """One row per piece of every document: its ids, an end id after them, cut if too long.
 
     ``ranks_file`` and ``pattern`` name a byte-level vocabulary as merge ranks, read where the
-    tasks run. Strings of special tokens are ordinary text. A null or empty text is the end id
+    tasks run. Strings of ``added`` (texts and ids) are one id each, others of special tokens are
+    ordinary text. A null or empty text is the end id
     alone. Longer ones are cut into pieces of ``capacity`` ids, of which the first may be shorter.
     ``with_ids`` adds the ids of each piece as an array.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(ranks_file, pattern).encode_ordinary
+        encoder = _encoder(ranks_file, pattern, added)
+        encode = partial(encoder.encode, allowed_special="all") if added else encoder.encode_ordinary
         for batch in batches:
             keys, rows, all_ids = batch.column(0).to_pylist(), [], []
             for key, text in zip(keys, batch.column(1), strict=True):

@@ -67,9 +67,13 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def added_tokens() -> tuple[tuple[str, int], ...]:
+    return packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *vocabulary()))
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *vocabulary(), added=added_tokens()))
 
 
 @query
