@@ -89,3 +89,9 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Remove a stored copy that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
