@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, language, merkle, packing, repeats, simhash, toxicity, url_rules, warc
+from tidemark.llm import (
+    centroids,
+    decontaminate,
+    html_text,
+    language,
+    merkle,
+    oracle,
+    packing,
+    repeats,
+    simhash,
+    toxicity,
+    url_rules,
+    warc,
+)
 from tidemark.llm.common import held_out, table
 from tidemark.session import scratch_path
 
@@ -148,3 +161,16 @@ FROM ruled"""
 
 
 SQL["op10_url_rules"] = _url_sql()
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(
+        table(spark, sf_dir, "embeddings"), size=64, scale=256, centroids=40, rounds=5, seed=2
+    )
+    return centroids.with_inertia(found).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+SQL["op13_centroids"] = oracle.centroids_sql(size=64, scale=256, centroids=40, rounds=5, seed=2)
