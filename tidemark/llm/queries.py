@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     centroids,
+    conversations,
     decontaminate,
     html_text,
     language,
@@ -22,7 +23,7 @@ from tidemark.llm import (
     url_rules,
     warc,
 )
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import held_out, kept, table
 from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +164,38 @@ FROM ruled"""
 SQL["op10_url_rules"] = _url_sql()
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations with planted faults, chosen by crc32 of ``conv_id:turn``; nulls count as one space."""
+    present = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    damage = F.crc32(F.concat_ws(":", present["conv_id"], present["turn"]).cast("binary")) % 20
+    text = F.when(damage == 1, "").when(damage == 2, F.regexp_replace(present["text"], "[.!?]", ""))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(present["role"]).alias("role"),
+        text.otherwise(present["text"]).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(damage == 0, 0).when(damage == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations")
+    rows = damaged(original)
+    plans = kept(conversations.plans(rows))
+    digests = conversations.digests(rows, plans).withColumnRenamed("conv_id", "of")
+    found = plans.join(digests, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    ids = original.select(F.col("conv_id").alias("of")).distinct()
+    zeros = {c: 0 for c in ("gaps", *conversations.COUNTS, "cost")}
+    filled = {c: F.coalesce(c, F.lit(z).cast("long")) for c, z in zeros.items()}
+    filled |= {"audit": F.coalesce("audit", F.lit("")), "repaired_sha256": F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))}
+    out = ids.join(found, F.col("of").eqNullSafe(F.col("conv_id")), "left")
+    return out.select(F.col("of").alias("conv_id"), *[c.alias(name) for name, c in filled.items()])
+
+
+SQL["op12_conversations"] = oracle.conversations_sql()
+
+
 @query
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = centroids.cluster(
