@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -17,6 +17,7 @@ from tidemark.llm import (
     merkle,
     oracle,
     packing,
+    pii,
     repeats,
     simhash,
     toxicity,
@@ -24,6 +25,7 @@ from tidemark.llm import (
     warc,
 )
 from tidemark.llm.common import held_out, kept, table
+from tidemark.llm.pii_spans import KINDS
 from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +166,23 @@ FROM ruled"""
 SQL["op10_url_rules"] = _url_sql()
 
 
+@query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs)).drop("text")
+    exact = F.filter("found", lambda s: s["exact"])
+    counts = [_number(exact, kind).alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed(exact), 256).alias("base_sha256"), _listed(F.col("found")).alias("spans"))
+
+
+def _number(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The conversations with planted faults, chosen by crc32 of ``conv_id:turn``; nulls count as one space."""
     present = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
