@@ -7,16 +7,16 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import FeatureLookup, join_labels, lookup_features, training_set
+from tidemark.operators.lookup import FeatureLookup, _Asked, join_labels, lookup_features, training_set
 
 START = datetime(2024, 1, 1)
 BASE = "id long, k int, t timestamp"
 FEATURES = "zip int, ts timestamp, a double, b int"
 
 
-def make(spark, base, features, slot="hour", **kw):
+def make(spark, base, features, **kw):
     lookup = FeatureLookup(
-        spark.createDataFrame(features, FEATURES), ("a", "b"), ("k",), "t", ("zip",), "ts", slot=slot, **kw
+        spark.createDataFrame(features, FEATURES), ("a", "b"), ("k",), "t", ("zip",), "ts", **kw
     )
     return spark.createDataFrame(base, BASE), lookup
 
@@ -30,9 +30,8 @@ def search(base, features):
     return sorted(out)
 
 
-@pytest.mark.parametrize("slot", [None, "minute", "hour", "day"])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_direct_search(spark, slot, seed):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equals_direct_search(spark, seed):
     rng = random.Random(seed)
     base = [
         # A third of the rows share one key and one instant.
@@ -44,7 +43,7 @@ def test_equals_direct_search(spark, slot, seed):
     features = [
         (rng.choice([1, 2, 3]), START + timedelta(seconds=s), rng.choice([None, float(s)]), s) for s in times
     ]
-    frame, lookup = make(spark, base, features, slot)
+    frame, lookup = make(spark, base, features)
     assert rows(lookup_features(frame, [lookup]), "id") == search(base, features)
 
 
@@ -87,8 +86,10 @@ def test_composite_key(spark):
 
 def test_one_feature_column_name_twice_is_refused(spark):
     frame, lookup = make(spark, [(1, 1, START)], [(1, START, 1.0, 1)])
-    with pytest.raises(Exception, match="AMBIGUOUS|ambiguous"):
-        lookup_features(frame.withColumn("a", F.lit(0)), [lookup]).collect()
+    with pytest.raises(ValueError, match="ambiguous"):
+        lookup_features(frame.withColumn("a", F.lit(0)), [lookup])
+    with pytest.raises(ValueError, match="ambiguous"):
+        lookup_features(frame, [lookup, lookup])
 
 
 def test_duplicate_base_rows_stay_duplicate(spark):
@@ -103,11 +104,101 @@ def test_training_set_needs_its_label(spark):
         training_set(frame, [lookup], "fare")
 
 
-def test_no_python_and_no_cross_join_in_the_plan(spark, capsys):
-    frame, lookup = make(spark, [(1, 1, START)], [(1, START, 1.0, 1)])
-    lookup_features(frame, [lookup]).explain()
+def test_second_feature_row_of_a_key_and_time_fails(spark):
+    at = START + timedelta(hours=1)
+    for twice in ([(1, at, 1.0, 1), (1, at, 2.0, 2)], [(1, at, None, None)] * 2):
+        features = [(1, START + timedelta(seconds=s), 0.0, s) for s in range(50)] + twice
+        frame, lookup = make(spark, [(1, 1, START)], features)
+        with pytest.raises(Exception, match="duplicate feature key"):
+            lookup_features(frame, [lookup]).collect()
+    # The same key and time in two tables, or rows that can never be met, are no duplicates.
+    features = [(1, START, 1.0, 1), (None, START, 1.0, 1), (None, START, 2.0, 1), (1, None, 1.0, 1), (1, None, 1.0, 1)]
+    frame, first = make(spark, [(1, 1, START)], features)
+    _, second = make(spark, [], features, rename={"a": "a2", "b": "b2"})
+    assert rows(lookup_features(frame, [first, second]), "id") == [(1, 1, START, 1.0, 1, 1.0, 1)]
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+@pytest.mark.parametrize("every", [1, 7, 400, 100_000])
+def test_one_key_in_one_minute_spreads_over_all_tasks(spark, batch, every):
+    """Features are dense, thin, or one row at the very head, whose value goes through all tasks."""
+    at = lambda n: START + timedelta(microseconds=1000 * n)
+    base = [(n, 1, at(n)) for n in range(3000)] + [(9000, 0, at(5)), (9001, 2, at(5))]
+    features = [(1, at(n), float(n), n) for n in range(0, 3000, every)] + [(0, at(6), 0.0, 0), (2, at(4), 2.0, 2)]
+    settings = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": batch,
+        "spark.sql.shuffle.partitions": 16,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        frame, lookup = make(spark, base, features)
+        asked = [F.lit(0).alias("p"), F.col("k"), F.col("t"), F.lit(True).alias("__asked"), F.lit(None).cast("int").alias("v")]
+        dealt = frame.select(*asked).repartitionByRange("p", "k", "t").groupBy(F.spark_partition_id()).count()
+        sizes = [r[1] for r in dealt.collect()]
+        assert len(sizes) == 16 and max(sizes) < 2 * 3002 / 16
+        found = lookup_features(frame, [lookup])
+        assert rows(found, "id") == search(base, features)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_lookups_of_different_keys_types_and_times(spark):
+    """Keys of unlike types and numbers, one pair of columns asked twice, one table used for two pairs."""
+    rng = random.Random(4)
+    day = lambda: START + timedelta(minutes=rng.randrange(3000))
+    base = [(i, rng.choice((1, 2, None)), rng.choice("xy"), day(), rng.choice((day(), None))) for i in range(300)]
+    one = [(k, START + timedelta(minutes=m), m) for k in (1, 2) for m in rng.sample(range(3000), 30)]
+    two = [(k, a, START + timedelta(minutes=m), -m) for k in (1, 2) for a in "xy" for m in rng.sample(range(3000), 30)]
+    frame = spark.createDataFrame(base, "id long, k int, area string, t timestamp, u timestamp")
+    first = spark.createDataFrame(one, "zip long, ts timestamp, v int")
+    second = spark.createDataFrame(two, "zip int, area string, ts timestamp, w int")
+    lookups = [
+        FeatureLookup(first, ("v",), ("k",), "t", ("zip",), "ts"),
+        FeatureLookup(second, ("w",), ("k", "area"), "u", ("zip", "area"), "ts"),
+        FeatureLookup(first, ("v",), ("k",), "u", ("zip",), "ts", {"v": "v_u"}),
+        FeatureLookup(first, ("v",), ("k",), "t", ("zip",), "ts", {"v": "v_again"}),
+    ]
+
+    def best(held, at):
+        return max((h for h in held if at is not None and h[-2] <= at), key=lambda h: h[-2], default=(None,))[-1]
+
+    expected = []
+    for i, k, a, t, u in base:
+        mine, pairs = [h for h in one if h[0] == k], [h for h in two if h[:2] == (k, a)]
+        expected.append((i, k, a, t, u, best(mine, t), best(pairs, u), best(mine, u), best(mine, t)))
+    found = lookup_features(frame, lookups)
+    assert found.columns == ["id", "k", "area", "t", "u", "v", "w", "v_u", "v_again"]
+    assert rows(found, "id") == sorted(expected)
+
+
+def test_base_rows_are_read_once_for_all_instants(spark, tmp_path, capsys):
+    base = [(i, i % 3, START + timedelta(minutes=i)) for i in range(50)]
+    features = [(z, START + timedelta(minutes=m), float(m), m) for z in range(3) for m in range(0, 60, 7)]
+    spark.createDataFrame(base, BASE).withColumn("u", F.col("t")).write.parquet(f"{tmp_path}/base")
+    frame = spark.read.parquet(f"{tmp_path}/base")
+    table = spark.createDataFrame(features, FEATURES)
+    lookups = [
+        FeatureLookup(table, ("a",), ("k",), "t", ("zip",), "ts"),
+        FeatureLookup(table, ("b",), ("k",), "u", ("zip",), "ts"),
+    ]
+    _Asked(frame, lookups).instants().explain()
     plan = capsys.readouterr().out
-    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert plan.count("FileScan parquet") == 1 and "ReadSchema: struct<k:int,t:timestamp,u:timestamp>" in plan
+    found = lookup_features(frame, lookups)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count(f"{tmp_path}/base") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_no_lookups_and_empty_tables(spark):
+    frame, lookup = make(spark, [(1, 1, START)], [])
+    assert lookup_features(frame, []).columns == frame.columns
+    assert rows(lookup_features(frame, [lookup]), "id") == [(1, 1, START, None, None)]
+    assert lookup_features(frame.limit(0), [lookup]).collect() == []
 
 
 def test_labels_join_keeps_predictions(spark):

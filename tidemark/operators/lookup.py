@@ -1,20 +1,16 @@
 """Point-in-time lookup: the newest feature row at or before each row's own time.
 
 Base rows are many and wide, and one key may own a large share of them, so they are neither
-sorted nor gathered by key. The lookup is resolved on *instants* instead:
-
-1. the distinct ``(key, time)`` pairs asked for, collapsed before the shuffle;
-2. for each of them the newest feature row so far, by one ordered pass over instants and
-   feature rows together;
-3. one equality join of the base rows on ``(key, time)``. A hot pair on the base side is
-   split by adaptive skew-join handling, and Spark broadcasts the answers when their
-   size is under its broadcast limit.
-
-The ordered pass of step 2 runs per key and *slot* (a minute, an hour or a day), with the
-newest feature row of earlier slots carried in: a group then holds one slot of distinct
-instants, and the carrying step one row per slot, however many rows the key has. Where both
-sides sit on a coarse clock grid, a key has few instants anyway (35,040 a year on quarter
-hours) and ``slot=None`` saves the carrying step.
+sorted nor gathered by key. The lookups are resolved on *instants* instead:
+
+1. the distinct ``(key, time)`` pairs asked for, of all lookups in one read of the base rows and
+   collapsed before the shuffle. Lookups with the same key and time columns share theirs;
+2. for each of them the newest feature row so far, by one ordered scan of the instants and the
+   feature rows of all lookups together (see ``ordered_scan``): a key lies in as many tasks as
+   its rows need;
+3. one equality join of the base rows on ``(key, time)`` for each pair of key and time columns.
+   A hot pair on the base side is split by adaptive skew-join handling, and Spark broadcasts
+   the answers when their size is under its broadcast limit.
 """
 
 from __future__ import annotations
@@ -23,13 +19,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from tidemark.operators.keys import unique_rows
+from tidemark.operators.ordered_scan import ASKED, newest_so_far
 
-_AT, _FOUND, _SLOT, _ASKED = "__at", "__found", "__slot", "__asked"
+_AT, _PAIR = "__at", "__pair"
 
 
 @dataclass(frozen=True)
@@ -46,86 +44,101 @@ class FeatureLookup:
     timestamp_lookup_key: str
     primary_keys: Sequence[str]
     timestamp_key: str
-    slot: str | None = "hour"
     rename: dict[str, str] = field(default_factory=dict)
 
     @property
     def output_names(self) -> list[str]:
         return [self.rename.get(n, n) for n in self.feature_names]
 
-
-def _keyed(df: DataFrame, keys: Sequence[str], ts: str, *extra: Column) -> DataFrame:
-    """Keys and time under common names, rows without either left out."""
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (ts, *keys)])
-    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
-    return df.filter(present).select(*named, F.col(ts).alias(_AT), *extra)
-
-
-def newest_so_far(asked: DataFrame, offered: DataFrame, keys: Sequence[str], slot: str | None) -> DataFrame:
-    """For each asked ``(keys, __at)`` the newest offered row that is not later, if any.
-
-    ``offered`` has ``keys``, a time that is unique per key, and the struct ``__found``.
-    """
-    nothing = F.lit(None).cast(offered.schema[_FOUND].dataType)
-    marks = asked.withColumns({_FOUND: nothing, _ASKED: F.lit(True)}).unionByName(
-        offered.withColumn(_ASKED, F.lit(False))
-    )
-    groups = list(keys)
-    if slot:
-        marks = marks.withColumn(_SLOT, F.date_trunc(slot, F.col(_AT)))
-        marks = marks.unionByName(_carried(marks, keys))
-        groups.append(_SLOT)
-    # The default frame of an ordered window takes in peers, so an equal time matches.
-    so_far = Window.partitionBy(*groups).orderBy(_AT)
-    return (
-        marks.withColumn(_FOUND, F.last(_FOUND, ignorenulls=True).over(so_far))
-        .filter(F.col(_ASKED) & F.col(_FOUND).isNotNull())
-        .select(*keys, _AT, f"{_FOUND}.*")
-    )
-
-
-def _carried(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """For each slot in use, the newest feature row of the slots before it.
-
-    It has no time of its own, which sorts it before all rows of the slot.
-    """
-    offered_at = F.when(F.col(_FOUND).isNotNull(), F.col(_AT))
-    earlier = Window.partitionBy(*keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        marks.groupBy(*keys, _SLOT)
-        .agg(F.max_by(_FOUND, offered_at).alias(_FOUND))
-        .withColumn(_FOUND, F.last(_FOUND, ignorenulls=True).over(earlier))
-        .filter(F.col(_FOUND).isNotNull())
-        .withColumns({_AT: F.lit(None).cast(marks.schema[_AT].dataType), _ASKED: F.lit(False)})
-    )
-
-
-def resolve(base: DataFrame, lookup: FeatureLookup) -> DataFrame:
-    """Feature values for every distinct ``(key, time)`` of ``base`` that has a match."""
-    keys = [f"__k{i}" for i in range(len(lookup.lookup_key))]
-    asked = _keyed(base, lookup.lookup_key, lookup.timestamp_lookup_key).distinct()
-    found = F.struct(*[F.col(n).alias(lookup.rename.get(n, n)) for n in lookup.feature_names])
-    offered = _keyed(lookup.features, lookup.primary_keys, lookup.timestamp_key, found.alias(_FOUND))
-    return newest_so_far(asked, offered, keys, lookup.slot)
-
-
-def attach(base: DataFrame, answers: DataFrame, lookup: FeatureLookup) -> DataFrame:
-    """Left join of resolved values onto the base rows; no match leaves nulls."""
-    same = [F.col(b) == F.col(f"__k{i}") for i, b in enumerate(lookup.lookup_key)]
-    same.append(F.col(lookup.timestamp_lookup_key) == F.col(_AT))
-    return base.join(answers, same, "left").select(*base.columns, *lookup.output_names)
+    @property
+    def asked_by(self) -> tuple[str, ...]:
+        """The base columns that are asked with."""
+        return (*self.lookup_key, self.timestamp_lookup_key)
+
+
+def _common_type(columns: Sequence[tuple[DataFrame, str]]) -> T.DataType:
+    """The type in which values of all columns can be compared; text where there is none, and for
+    floating numbers, of which a NaN would not equal itself."""
+    try:
+        kind = reduce(DataFrame.union, [df.select(F.col(c)) for df, c in columns]).schema[0].dataType
+    except AnalysisException:
+        return T.StringType()
+    return T.StringType() if isinstance(kind, (T.FloatType, T.DoubleType)) else kind
+
+
+class _Asked:
+    """How lookups ask: their pairs of key and time columns, and the types to compare them in."""
+
+    def __init__(self, base: DataFrame, lookups: Sequence[FeatureLookup]):
+        self.base, self.lookups = base, lookups
+        self.pairs = list(dict.fromkeys(lookup.asked_by for lookup in lookups))
+        self.width = max(len(lookup.lookup_key) for lookup in lookups)
+        self.keys = [f"__k{i}" for i in range(self.width)]
+        self.types = []
+        for i in range(self.width):
+            of = [lookup for lookup in lookups if i < len(lookup.lookup_key)]
+            self.types.append(_common_type([c for u in of for c in ((base, u.lookup_key[i]), (u.features, u.primary_keys[i]))]))
+        self.time = _common_type(
+            [c for u in lookups for c in ((base, u.timestamp_lookup_key), (u.features, u.timestamp_key))]
+        )
+
+    def key(self, i: int, names: Sequence[str]) -> Column:
+        return (F.col(names[i]) if i < len(names) else F.lit(None)).cast(self.types[i])
+
+    def named(self, pair: int, names: Sequence[str], at: str) -> list[Column]:
+        keys = [self.key(i, names).alias(k) for i, k in enumerate(self.keys)]
+        return [F.lit(pair).alias(_PAIR), *keys, F.col(at).cast(self.time).alias(_AT)]
+
+    def complete(self, names: Sequence[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in names])
+
+    def instants(self) -> DataFrame:
+        """The distinct instants of all pairs, by one read of the base rows. Rows without a key or time ask nothing."""
+        each = [
+            F.when(self.complete(pair), F.struct(*self.named(n, pair[:-1], pair[-1]))) for n, pair in enumerate(self.pairs)
+        ]
+        asked = self.base.select(F.explode(F.array_compact(F.array(*each))).alias("a")).select("a.*")
+        return asked.distinct().withColumn(ASKED, F.lit(True))
+
+    def offered(self, n: int) -> DataFrame:
+        """The feature rows of a lookup, its values as one struct. Rows without a key or time are never met."""
+        lookup = self.lookups[n]
+        values = F.struct(*[F.col(c).alias(o) for c, o in zip(lookup.feature_names, lookup.output_names, strict=True)])
+        rows = lookup.features.where(self.complete((*lookup.primary_keys, lookup.timestamp_key)))
+        named = self.named(self.pairs.index(lookup.asked_by), lookup.primary_keys, lookup.timestamp_key)
+        return rows.select(*named, F.lit(False).alias(ASKED), values.alias(f"__f{n}"))
+
+    def answers(self) -> DataFrame:
+        marks = self.instants()
+        for n in range(len(self.lookups)):
+            marks = marks.unionByName(self.offered(n), allowMissingColumns=True)
+        return newest_so_far(marks, [_PAIR, *self.keys], _AT, [f"__f{n}" for n in range(len(self.lookups))])
 
 
 def lookup_features(base: DataFrame, lookups: Sequence[FeatureLookup]) -> DataFrame:
-    """Attach the features of every lookup to the base rows.
+    """Attach the features of every lookup to the base rows; no match leaves nulls.
 
-    All lookups are resolved against ``base`` itself, so a later one does not repeat the
-    joins of an earlier one; store ``base`` first when it is costly to compute.
+    The lookups are resolved when this is called, the base rows joined when the result is used:
+    store ``base`` first when it is costly to compute. The job fails on two feature rows of one
+    key and time.
     """
+    fetched = [name for lookup in lookups for name in lookup.output_names]
+    clashing = sorted({c for c in [*base.columns, *fetched] if [*base.columns, *fetched].count(c) > 1})
+    if clashing:
+        raise ValueError(f"ambiguous columns {clashing}: rename what is fetched")
+    if not lookups:
+        return base
+    asked = _Asked(base, lookups)
+    found = asked.answers()
     out = base
-    for lookup in lookups:
-        out = attach(out, resolve(base, lookup), lookup)
-    return out
+    for n, pair in enumerate(asked.pairs):
+        of = [i for i, lookup in enumerate(lookups) if lookup.asked_by == pair]
+        answers = found.where(F.col(_PAIR) == n).select(*asked.keys, _AT, *[f"__f{i}" for i in of])
+        same = [asked.key(i, pair[:-1]) == F.col(asked.keys[i]) for i in range(len(pair) - 1)]
+        same.append(F.col(pair[-1]).cast(asked.time) == F.col(_AT))
+        out = out.join(answers, same, "left").drop(*asked.keys, _AT)
+    values = [F.col(f"__f{i}.{name}").alias(name) for i, lookup in enumerate(lookups) for name in lookup.output_names]
+    return out.select(*base.columns, *values)
 
 
 def training_set(

@@ -308,7 +308,6 @@ def expect_keep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lookups(spark: SparkSession, folder: str) -> list[lookup.FeatureLookup]:
-    """Lookups on the clock grid read their features once, so these are not stored before."""
     trips = views.trips(spark, folder)
     return [
         training.pickup_lookup(features.pickup_features(trips, PICKUP), PICKUP),
@@ -330,14 +329,21 @@ def lookup_dropoff(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def lookup_exact_times(spark: SparkSession, folder: str) -> DataFrame:
-    """Unrounded lookup times: almost every instant is distinct. Slots read the features twice."""
+    """Unrounded lookup times: almost every instant is distinct."""
     trips = views.trips(spark, folder)
-    stored = cut_lineage(features.pickup_features(trips, PICKUP), "pickup")
-    trips = trips.select("trip_id", "pickup_zip", PICKUP)
     found = lookup.FeatureLookup(
-        stored, training.PICKUP_FEATURES, ("pickup_zip",), PICKUP, ("zip",), PICKUP
+        features.pickup_features(trips, PICKUP), training.PICKUP_FEATURES, ("pickup_zip",), PICKUP, ("zip",), PICKUP
     )
-    return rounded(lookup.lookup_features(trips, [found]))
+    return rounded(lookup.lookup_features(trips.select("trip_id", "pickup_zip", PICKUP), [found]))
+
+
+@query
+def lookup_hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    """All trips of one key: its newest rows are carried from task to task."""
+    trips = views.trips(spark, folder).withColumn("k", F.lit(1))
+    told = trips.where("trip_id % 5 = 0").groupBy("k", PICKUP).agg(F.max("fare_amount").alias("fare"), F.max("trip_id").alias("told_by"))
+    found = lookup.FeatureLookup(told, ("fare", "told_by"), ("k",), PICKUP, ("k",), PICKUP)
+    return rounded(lookup.lookup_features(trips.select("trip_id", "k", PICKUP), [found]).drop("k"))
 
 
 @query

@@ -46,20 +46,15 @@ def rounded_trips(trips: DataFrame, direction: str = "up", view: str | None = No
     return rounded
 
 
-# Rounded trip times and window ends both lie on the quarter-hour grid, so the ordered pass of
-# a lookup meets few distinct instants per zip and needs no slots.
-ON_GRID = None
-
-
 def pickup_lookup(features: DataFrame, timestamp_key: str = "tpep_pickup_datetime") -> FeatureLookup:
     return FeatureLookup(
-        features, PICKUP_FEATURES, ("pickup_zip",), "rounded_pickup_datetime", ("zip",), timestamp_key, ON_GRID
+        features, PICKUP_FEATURES, ("pickup_zip",), "rounded_pickup_datetime", ("zip",), timestamp_key
     )
 
 
 def dropoff_lookup(features: DataFrame, timestamp_key: str = "tpep_dropoff_datetime") -> FeatureLookup:
     return FeatureLookup(
-        features, DROPOFF_FEATURES, ("dropoff_zip",), "rounded_dropoff_datetime", ("zip",), timestamp_key, ON_GRID
+        features, DROPOFF_FEATURES, ("dropoff_zip",), "rounded_dropoff_datetime", ("zip",), timestamp_key
     )
 
 
@@ -67,8 +62,8 @@ def trip_lookups(spark: SparkSession, pickup_table: str, dropoff_table: str) ->
     """Lookups into the two stored trip feature tables."""
     pickup, dropoff = FeatureTable(spark, pickup_table), FeatureTable(spark, dropoff_table)
     return [
-        pickup.lookup(PICKUP_FEATURES, ["pickup_zip"], "rounded_pickup_datetime", ON_GRID),
-        dropoff.lookup(DROPOFF_FEATURES, ["dropoff_zip"], "rounded_dropoff_datetime", ON_GRID),
+        pickup.lookup(PICKUP_FEATURES, ["pickup_zip"], "rounded_pickup_datetime"),
+        dropoff.lookup(DROPOFF_FEATURES, ["dropoff_zip"], "rounded_dropoff_datetime"),
     ]
 
 
@@ -102,7 +97,7 @@ class ScoringModel:
                 "feature_names": list(lookup.feature_names),
                 "lookup_key": list(lookup.lookup_key),
                 "timestamp_lookup_key": lookup.timestamp_lookup_key,
-                "slot": lookup.slot,
+                "rename": lookup.rename,
             }
             for table, lookup in zip(lookup_tables, self.lookups, strict=True)
         ]
@@ -112,6 +107,8 @@ class ScoringModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ScoringModel:
         about = json.loads(spark.read.text(f"{path}/about").first()[0])
+        for saved in about["lookups"]:
+            saved.pop("slot", None)  # models stored before lookups went without time slots
         lookups = [FeatureTable(spark, saved.pop("table")).lookup(**saved) for saved in about["lookups"]]
         return cls(PipelineModel.load(f"{path}/model"), about["inputs"], about["label"], lookups)
 

@@ -146,7 +146,7 @@ class FeatureTable:
         feature_names: Sequence[str],
         lookup_key: Sequence[str],
         timestamp_lookup_key: str,
-        slot: str | None = "hour",
+        rename: dict[str, str] | None = None,
     ) -> FeatureLookup:
         """A point-in-time lookup into this table."""
         return FeatureLookup(
@@ -156,7 +156,7 @@ class FeatureTable:
             timestamp_lookup_key=timestamp_lookup_key,
             primary_keys=tuple(self.primary_keys),
             timestamp_key=self.timestamp_key,
-            slot=slot,
+            rename=dict(rename or {}),
         )
 
 
