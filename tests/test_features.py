@@ -1,4 +1,6 @@
-from datetime import datetime
+import random
+import statistics
+from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
@@ -107,6 +109,33 @@ def test_panes_equal_expansion(spark):
     assert rows(result(True), "sensor_id", "window") == rows(result(False), "sensor_id", "window")
 
 
+@pytest.mark.parametrize(("size", "slide"), [(60, 15), (60, 5), (5, 1)])
+def test_deviation_from_panes_keeps_its_digits(spark, size, slide):
+    """Small spreads about large values, panes of one row, of none, and of nothing but nulls."""
+    rng = random.Random(9)
+    rows_ = [
+        (k, datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(9000)), None if rng.random() < 0.1 else 1e9 + rng.random())
+        for k in (1, 1, 1, 1, 2) for _ in range(150)
+    ]
+    rows_ += [(3, datetime(2024, 1, 1), 5.0), (4, datetime(2024, 1, 1), None), (4, datetime(2024, 1, 1), None)]
+    df = spark.createDataFrame(rows_, "k int, t timestamp, v double")
+    measures = [Measure("d", "std", "v"), Measure("n", "count", "v")]
+    found = {(r.k, r.window.start): (r.d, r.n) for r in windowed_agg(df, ["k"], "t", measures, size, slide).collect()}
+    held = {}
+    for k, t, v in rows_:
+        first = t - timedelta(seconds=(t.minute * 60 + t.second) % (60 * slide))
+        for i in range(size // slide):
+            held.setdefault((k, first - timedelta(minutes=slide * i)), []).append(v)
+    assert set(found) == set(held)
+    for key, values in held.items():
+        values = [v for v in values if v is not None]
+        assert found[key][1] == len(values)
+        if len(values) < 2:
+            assert found[key][0] is None
+        else:
+            assert abs(found[key][0] - statistics.stdev(values)) < 1e-6
+
+
 def test_filter_reaches_the_scan(spark, capsys):
     pickup_features(views.trips(spark, SMALL), PICKUP, "2024-01-05", "2024-01-06").explain("formatted")
     plan = capsys.readouterr().out
