@@ -72,35 +72,39 @@ def silver(
     ``delay`` is for streams: it sets a watermark on the plausible readings, so that a broken
     reading cannot move it.
     """
-    clean = plausible(expect(readings, variant.silver_rules, observe), variant.ranges)
+    clean = clean_readings(readings, variant, observe)
     if delay:
         clean = clean.withWatermark("event_time", delay)
+    measures = silver_measures(variant)
     stats = windowed_agg(
-        clean,
-        ["sensor_id"],
-        "event_time",
-        [
-            Measure("avg_temp_5m", "mean", "temperature"),
-            Measure("avg_humidity_5m", "mean", "humidity"),
-            Measure("min_pressure_5m", "min", "pressure"),
-            Measure("max_pressure_5m", "max", "pressure"),
-            Measure(variant.count_column, "count"),
-        ],
-        size=5,
-        slide=variant.slide_minutes,
-        panes=delay is None,
+        clean, ["sensor_id"], "event_time", measures, size=SILVER_MINUTES, slide=variant.slide_minutes, panes=delay is None
     )
+    return silver_columns(stats, variant)
+
+
+def clean_readings(readings: DataFrame, variant: Variant, observe: Observation | str | None = None) -> DataFrame:
+    """The readings that count in 5-minute statistics."""
+    return plausible(expect(readings, variant.silver_rules, observe), variant.ranges)
+
+
+SILVER_MINUTES = 5
+
+
+def silver_measures(variant: Variant) -> list[Measure]:
+    return [
+        Measure("avg_temp_5m", "mean", "temperature"),
+        Measure("avg_humidity_5m", "mean", "humidity"),
+        Measure("min_pressure_5m", "min", "pressure"),
+        Measure("max_pressure_5m", "max", "pressure"),
+        Measure(variant.count_column, "count"),
+    ]
+
+
+def silver_columns(stats: DataFrame, variant: Variant) -> DataFrame:
+    """The stored form of 5-minute statistics: the time of a row is the end of its window."""
     end = F.col("window.end")
-    return stats.select(
-        "sensor_id",
-        end.alias("event_time"),
-        month_key(end).alias("yyyy_mm"),
-        "avg_temp_5m",
-        "avg_humidity_5m",
-        "min_pressure_5m",
-        "max_pressure_5m",
-        variant.count_column,
-    )
+    names = [m.name for m in silver_measures(variant)]
+    return stats.select("sensor_id", end.alias("event_time"), month_key(end).alias("yyyy_mm"), *names)
 
 
 def gold(silver_rows: DataFrame, variant: Variant = TUMBLING, observe: Observation | str | None = None) -> DataFrame:

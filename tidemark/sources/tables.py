@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,20 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.St
     return reader.load(path)
 
 
+def stored_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """What is stored under ``path`` (or a pattern of paths), None if nothing is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    if not found:
+        return None
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
+            return None
+        raise
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -125,6 +140,15 @@ def overwrite_path(
     writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static").save(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, gone: Callable[[str], bool]) -> None:
+    """Remove the top folders ``column=value`` under ``path`` whose value is ``gone``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(at, f"{column}=*")) or ():
+        if gone(found.getPath().getName().partition("=")[2]):
+            files.delete(found.getPath(), True)
+
+
 def write_named(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
     """Replace (or append to) a named table; its schema may change on replacement."""
     ensure_namespace(df.sparkSession, name)
