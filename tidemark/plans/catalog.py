@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.signals import synth_readings
 from tidemark.functions.timekeys import epoch_seconds, from_epoch_seconds, month_key, round_to_minutes, weekend_flag
@@ -18,7 +20,8 @@ from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import sample_views as views
 from tidemark.sources import tables
 from tidemark.sources.feature_table import FeatureTable, merge_rows, unique_rows
-from tidemark.streaming import streams
+from tidemark.sources.window_states import on_day
+from tidemark.streaming import batches, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -689,3 +692,120 @@ def stream_silver_closed(spark: SparkSession, folder: str) -> DataFrame:
     """The windows a stream has closed: those that end at or before the watermark."""
     stream = streams.silver_stream(_readings_stream(spark, folder), SLIDING_STREAM, "10 minutes")
     return settled(_run_to_end(spark, stream, "silver"))
+
+
+def _shuffled_files(rows: DataFrame, files: int) -> str:
+    """The rows as so many files, each with rows of the whole time range."""
+    path = scratch_path(rows.sparkSession, "files")
+    for n in range(files):
+        part = F.pmod(F.xxhash64(*rows.columns), F.lit(files)) == n
+        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver of a stream whose every file has readings of all days, and whose last batch comes twice."""
+    source, path = _shuffled_files(views.readings(spark, folder), 4), scratch_path(spark, "late")
+    readings = views.readings(spark, folder)
+    stream = streams.file_stream(spark, source, readings.schema, max_files_per_trigger=1)
+    sink = streams.late_silver_sink(stream, f"{path}/states", f"{path}/silver", f"{path}/checkpoint", TUMBLING)
+    streams.run_bounded(sink)
+    again = readings.where(F.pmod(F.xxhash64(*readings.columns), F.lit(4)) == 3)
+    states = streams.silver_states(spark, f"{path}/states", TUMBLING)
+    days = states.add(medallion.clean_readings(again, TUMBLING), "event_time", 3)
+    silver = medallion.silver_columns(states.windows(days), TUMBLING).withColumn("on_day", on_day(F.col("event_time")))
+    tables.overwrite_path(silver, f"{path}/silver", ("yyyy_mm", "on_day"), only_touched=True)
+    return settled(spark.read.parquet(f"{path}/silver").drop("on_day"))
+
+
+@query
+def stream_rule_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows checked and failed by rule over all batches of a stream, next to the rows that came out."""
+    source, path = _shuffled_files(_broken_readings(spark, folder), 6), scratch_path(spark, "counted")
+    stream = streams.file_stream(spark, source, _broken_readings(spark, folder).schema, max_files_per_trigger=1)
+    write = batches.dated_writer(f"{path}/rows", "event_time", f"{path}/checkpoint", TUMBLING.bronze_rules)
+    streams.run_bounded(batches.batch_sink(stream, write, f"{path}/checkpoint"))
+    counts = batches.rule_counts(spark, f"{path}/checkpoint")
+    out = spark.read.parquet(f"{path}/rows")
+    return out.agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("batch").alias("batches")).select(
+        "kept", "batches", *[F.lit(n).cast("long").alias(c) for c, n in counts.items()]
+    )
+
+
+LABEL_DELAY, LABEL_BOUND = "1 hour", "2 hours"
+
+
+@query
+def stream_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions with the labels that come within two hours, some twice, some late, some never."""
+    # A pattern, so that both a single file and a folder of files are found.
+    path = f"{folder}/events.parque[t]"
+    predicted = views.predictions_of(streams.file_stream(spark, path, views.events(spark, folder).schema))
+    labels = _late_labels(views.events(spark, folder))
+    stored = scratch_path(spark, "labels")
+    labels.write.parquet(stored)
+    told = streams.file_stream(spark, stored, labels.schema)
+    zoned = predicted.select("trip_id", "prediction", F.col("timestamp").cast("timestamp"))
+    joined = streams.label_stream(
+        zoned, told, "trip_id", "fare_amount", "timestamp", "labelled_at", LABEL_BOUND, LABEL_DELAY
+    )
+    return rounded(_run_to_end(spark, joined, "labelled"))
+
+
+def _late_labels(events: DataFrame) -> DataFrame:
+    """Labels 0 to 179 minutes after the prediction; none for every fifth, the same twice for some."""
+    event = F.col("event_id")
+    at = (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), (event % 180).cast("int"))).cast("timestamp")
+    told = events.where(event % 5 != 0).select(event.alias("trip_id"), F.col("value").alias("fare_amount"), at.alias("labelled_at"))
+    return told.unionByName(told.where("trip_id % 7 = 1"))
+
+
+@query
+def stream_rate(spark: SparkSession, folder: str) -> DataFrame:
+    """All events replayed by a clocked counter in a continuous run, which ends when the last has come."""
+    events = views.events(spark, folder)
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    per_batch = last // RATE_BATCHES + 1
+    ticks = streams.clocked_ticks(spark, per_batch, RATE_START, RATE_ADVANCE)
+    told = events.select("event_id", F.col("value").alias("fare"))
+    replayed = ticks.join(told, F.col("value") == F.col("event_id")).select("event_id", "timestamp", "fare")
+    path = scratch_path(spark, "rate")
+    running = streams.append_sink(replayed, f"{path}/rows", f"{path}/checkpoint", every="100 milliseconds")
+    streams.run_until(running, lambda: _ticks_done(running) > last, seconds=600)
+    return rounded(spark.read.parquet(f"{path}/rows"))
+
+
+RATE_BATCHES, RATE_START, RATE_ADVANCE = 6, 1_700_000_000_000, 60_000
+
+
+def _ticks_done(running: StreamingQuery) -> int:
+    """How many counters have been written."""
+    done = running.lastProgress
+    return json.loads(done.json)["sources"][0]["endOffset"]["offset"] if done else 0
+
+
+@query
+def refresh_from_month(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored sensor job refreshed from a month on, after readings of that month came and those of the next went."""
+    readings = views.readings(spark, folder).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    base, schema_name = scratch_path(spark, "job"), f"refresh_{uuid.uuid4().hex}"
+    later = readings.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 31 DAYS"))
+    gone = readings.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 62 DAYS"))
+
+    def run(month: str | None = None) -> DataFrame:
+        source = streams.file_stream(spark, f"{base}/source", readings.schema)
+        return streams.run_sensor_job(
+            spark, f"{base}/bronze", f"{base}/silver", f"{base}/gold", f"{base}/check", TUMBLING,
+            source=source, every=None, seconds=None, schema_name=schema_name, refresh_from=month,
+        )
+
+    readings.unionByName(gone).write.parquet(f"{base}/source")
+    run()
+    tables.drop_partitions(spark, f"{base}/bronze", "on_day", lambda day: day >= "2024-03")
+    later.write.mode("append").parquet(f"{base}/source")
+    stored = cut_lineage(run("2024-02").drop("forecast_feature"), "refreshed")
+    for layer in ("bronze_sensor_data", "silver_sensor_data", "gold_sensor_features"):
+        spark.sql(f"DROP TABLE {schema_name}.{layer}")
+    spark.sql(f"DROP SCHEMA {schema_name}")
+    return settled(stored)

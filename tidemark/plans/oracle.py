@@ -477,3 +477,27 @@ SELECT 'disabled' AS mode, CAST(0 AS INTEGER) AS checks, CAST(NULL AS BOOLEAN) A
 UNION ALL SELECT 'dry_run', 2, ok, FALSE FROM measured
 UNION ALL SELECT 'enabled', CASE WHEN ok THEN 2 ELSE 0 END, ok, NOT ok FROM measured"""
 SQL["stream_stored_silver"] = SQL["silver_tumbling"]
+SQL["stream_late_rows"] = SQL["silver_tumbling"]
+SQL["stream_rule_counts"] = f"""WITH {READINGS}, {BROKEN}
+SELECT count(*) FILTER (event_time IS NOT NULL AND sensor_id BETWEEN 1 AND 10000) AS kept,
+       CAST(6 AS BIGINT) AS batches, count(*) AS checked,
+       count(*) FILTER (event_time IS NULL) AS failed_valid_event_time,
+       count(*) FILTER (sensor_id NOT BETWEEN 1 AND 10000) AS failed_valid_sensor_id
+FROM broken"""
+SQL["stream_labels"] = """WITH told AS (
+  SELECT event_id, value, ts + to_minutes(event_id % 180) AS labelled_at FROM events WHERE event_id % 5 <> 0),
+passed AS (  -- the older of the two watermarks, in whole milliseconds as streams keep them
+  SELECT date_trunc('milliseconds', least((SELECT max(ts) FROM events), (SELECT max(labelled_at) FROM told)))
+         - INTERVAL '1 hour' AS mark)
+SELECT e.event_id AS trip_id, round(e.value * 0.9 + e.event_id % 7, 6) AS prediction, e.ts AS timestamp,
+       round(t.value, 6) AS fare_amount
+FROM events e LEFT JOIN told t ON t.event_id = e.event_id AND t.labelled_at <= e.ts + INTERVAL '2 hours', passed
+WHERE t.event_id IS NOT NULL OR e.ts + INTERVAL '2 hours' < mark"""
+SQL["stream_rate"] = """
+SELECT event_id, make_timestamp((1700000000000 + event_id // (1 + (SELECT max(event_id) FROM events) // 6) * 60000) * 1000)
+       AS timestamp, round(value, 6) AS fare
+FROM events"""
+_BOTH_MONTHS = READINGS.replace("readings AS (", "first_month AS (") + """, readings AS (
+  SELECT * FROM first_month
+  UNION ALL SELECT sensor_id, event_time + INTERVAL '31 days', temperature, humidity, pressure FROM first_month)"""
+SQL["refresh_from_month"] = f"WITH {_BOTH_MONTHS}, {TUMBLING}, {gold('count_5m')} SELECT {GOLD_COLUMNS} FROM gold"

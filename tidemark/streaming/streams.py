@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -162,6 +163,19 @@ def run_bounded(query: StreamingQuery, seconds: int | None = None) -> None:
         query.stop()
 
 
+def run_until(query: StreamingQuery, done: Callable[[], bool], seconds: int, every: float = 0.2) -> None:
+    """Let a continuous run go on until ``done``, then stop it; it is an error if that takes longer than ``seconds``."""
+    end = time.monotonic() + seconds
+    try:
+        while not done():
+            if query.awaitTermination(every):
+                raise RuntimeError("the stream ended before it was done")
+            if time.monotonic() > end:
+                raise TimeoutError(f"the stream was not done after {seconds} seconds")
+    finally:
+        query.stop()
+
+
 def run_sensor_job(
     spark: SparkSession,
     bronze_path: str,
