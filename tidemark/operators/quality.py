@@ -37,6 +37,11 @@ SILVER_DROP_RULES = (
 GOLD_RULES = (Rule("non_null_avg_temp", "avg_temp_5m IS NOT NULL", drop=True),)
 
 
+def failures(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregates: rows checked, and rows that fail each rule."""
+    return [F.count(F.lit(1)).alias("checked"), *[F.count_if(~r.holds()).alias(f"failed_{r.name}") for r in rules]]
+
+
 def expect(df: DataFrame, rules: Sequence[Rule], observe: Observation | str | None = None) -> DataFrame:
     """Apply rules to a batch or a stream: failing rows of ``drop`` rules go, others stay.
 
@@ -46,9 +51,7 @@ def expect(df: DataFrame, rules: Sequence[Rule], observe: Observation | str | No
     if not rules:
         return df
     if observe is not None:
-        counts = [F.count(F.lit(1)).alias("checked")]
-        counts += [F.count_if(~r.holds()).alias(f"failed_{r.name}") for r in rules]
-        df = df.observe(observe, *counts)
+        df = df.observe(observe, *failures(rules))
     for rule in rules:
         if rule.drop:
             df = df.filter(rule.holds())

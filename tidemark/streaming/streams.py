@@ -237,8 +237,6 @@ def _store_layer(rows: DataFrame, path: str, month: str | None) -> None:
         overwrite_path(rows, path)
         return
     rows = rows.filter(F.col("yyyy_mm") >= month)
-    left = Observation()
-    rows = rows.observe(left, F.collect_set("yyyy_mm").alias("months"))  # a name per month
+    present = {r[0] for r in rows.select("yyyy_mm").distinct().collect()}  # a name per month
     overwrite_path(rows, path, only_touched=True)
-    present = set(left.get["months"])
     drop_partitions(rows.sparkSession, path, "yyyy_mm", lambda found: found >= month and found not in present)
