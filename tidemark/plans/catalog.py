@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.signals import synth_readings
 from tidemark.functions.timekeys import epoch_seconds, from_epoch_seconds, month_key, round_to_minutes, weekend_flag
-from tidemark.operators import filters, lookup, metrics, profile, quality, split
+from tidemark.operators import filters, lookup, metrics, profile, quality, rescue, split
 from tidemark.plans import features, medallion, monitoring, scoring, training, validation
 from tidemark.plans.medallion import SLIDING_BATCH, SLIDING_STREAM, TUMBLING
 from tidemark.session import cut_lineage, scratch_path
@@ -162,6 +162,48 @@ def rescue_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(filters.rescue_json(_json_rows(spark, folder), "body", RESCUE_SCHEMA))
 
 
+NESTED_SCHEMA = (
+    T.StructType()
+    .add("event_id", T.LongType())
+    .add("place", T.StructType().add("sensor_id", T.IntegerType()).add("zone", T.StructType().add("code", T.StringType())))
+    .add("temperature", T.DoubleType())
+    .add("levels", T.ArrayType(T.StructType().add("x", T.LongType())))
+)
+
+
+def _nested_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as nested JSON texts: some with unknown fields at any depth, some with single values
+    of another kind, some cut short."""
+    event = F.col("event_id").cast("string")
+    zone = F.concat(F.lit('{"code":"z'), event, F.when(F.col("event_id") % 4 == 1, '","since":2020}').otherwise('"}'))
+    sensor = F.when(F.col("event_id") % 6 == 2, F.lit('"north"')).otherwise((F.col("user_id") % 50 + 1).cast("string"))
+    heat = F.when(F.col("event_id") % 10 == 3, F.lit('"hot"')).otherwise(F.floor("value").cast("string"))
+    levels = F.when(F.col("event_id") % 9 == 4, F.lit('[{"x":1},{"x":2,"y":3}]')).otherwise('[{"x":5}]')
+    text = F.concat(
+        F.lit('{"event_id":'), event, F.lit(',"place":{"sensor_id":'), sensor, F.lit(',"zone":'), zone,
+        F.lit('},"temperature":'), heat, F.lit(',"levels":'), levels,
+        F.when(F.col("event_id") % 8 == 5, ',"site":{"east":true}}').otherwise("}"),
+    )
+    cut = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit('{"event_id":'), event)).otherwise(text)
+    return views.events(spark, folder).select(cut.alias("value"))
+
+
+def _flat_places(df: DataFrame) -> DataFrame:
+    return df.select(
+        "event_id",
+        F.col("place.sensor_id").alias("sensor_id"),
+        F.col("place.zone.code").alias("code"),
+        "temperature",
+        F.array_join(F.transform("levels", lambda item: item["x"].cast("string")), ",").alias("levels"),
+        "_rescued_data",
+    )
+
+
+@query
+def rescue_nested(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_flat_places(rescue.rescue_document(_nested_texts(spark, folder), "value", NESTED_SCHEMA)))
+
+
 @query
 def stamp_constants(spark: SparkSession, folder: str) -> DataFrame:
     scored = views.predictions(spark, folder).select("trip_id", "prediction")
@@ -679,6 +721,15 @@ def stream_json_rescue(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_run_to_end(spark, stream, "rescued"))
 
 
+@query
+def stream_rescue_nested(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested JSON files as a stream, with what does not fit kept by its path."""
+    source = scratch_path(spark, "json")
+    _nested_texts(spark, folder).write.text(source)
+    stream = streams.document_stream(spark, source, NESTED_SCHEMA)
+    return rounded(_flat_places(_run_to_end(spark, stream, "rescued")))
+
+
 @query
 def stream_stored_silver(spark: SparkSession, folder: str) -> DataFrame:
     """A stored layer read as a stream, appended file by file, and read again as a table."""

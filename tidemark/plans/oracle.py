@@ -78,6 +78,22 @@ SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS event_id,
        CASE WHEN event_id % 97 = 0 THEN '{"event_id": ' || event_id
             WHEN event_id % 50 = 1 THEN '{"site":"east","shift":"' || event_id % 3 || '"}' END AS _rescued_data
 FROM events"""
+SQL["rescue_nested"] = """WITH made AS (
+  SELECT *, event_id % 97 = 0 AS cut, list_filter([
+    CASE WHEN event_id % 8 = 5 THEN '"site":{"east":true}' END,
+    CASE WHEN event_id % 6 = 2 THEN '"place.sensor_id":"north"' END,
+    CASE WHEN event_id % 4 = 1 THEN '"place.zone.since":2020' END,
+    CASE WHEN event_id % 10 = 3 THEN '"temperature":"hot"' END,
+    CASE WHEN event_id % 9 = 4 THEN '"levels":[{"x":1},{"x":2,"y":3}]' END], lambda part: part IS NOT NULL) AS left_over
+  FROM events)
+SELECT CASE WHEN NOT cut THEN event_id END AS event_id,
+       CASE WHEN NOT cut AND event_id % 6 <> 2 THEN CAST(user_id % 50 + 1 AS INTEGER) END AS sensor_id,
+       CASE WHEN NOT cut THEN 'z' || event_id END AS code,
+       CASE WHEN NOT cut AND event_id % 10 <> 3 THEN floor(value) END AS temperature,
+       CASE WHEN cut THEN NULL WHEN event_id % 9 = 4 THEN '1,2' ELSE '5' END AS levels,
+       CASE WHEN cut THEN '{"event_id":' || event_id
+            WHEN len(left_over) > 0 THEN '{' || array_to_string(left_over, ',') || '}' END AS _rescued_data
+FROM made"""
 SQL["stamp_constants"] = f"""WITH {PREDS}
 SELECT trip_id, round(prediction, 6) AS prediction, CAST(3 AS INTEGER) AS model_id,
        TIMESTAMP '2024-02-01 11:00:00' AS timestamp FROM preds"""
@@ -501,3 +517,4 @@ _BOTH_MONTHS = READINGS.replace("readings AS (", "first_month AS (") + """, read
   SELECT * FROM first_month
   UNION ALL SELECT sensor_id, event_time + INTERVAL '31 days', temperature, humidity, pressure FROM first_month)"""
 SQL["refresh_from_month"] = f"WITH {_BOTH_MONTHS}, {TUMBLING}, {gold('count_5m')} SELECT {GOLD_COLUMNS} FROM gold"
+SQL["stream_rescue_nested"] = SQL["rescue_nested"]

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.signals import synth_readings
 from tidemark.operators.filters import rescue_json
+from tidemark.operators.rescue import rescue_document
 from tidemark.plans import medallion as layers
 from tidemark.plans.medallion import SLIDING_STREAM, TUMBLING, Variant
 from tidemark.session import require_utc
@@ -53,6 +54,14 @@ def file_stream(
     return reader.schema(schema).load(path)
 
 
+def document_stream(
+    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None, rescued: str = RESCUED
+) -> DataFrame:
+    """JSON lines arriving under ``path``, read by a schema of any depth; what does not fit is kept by its path."""
+    lines = file_stream(spark, path, T.StructType().add("value", T.StringType()), "text", max_files_per_trigger)
+    return rescue_document(lines, "value", schema, rescued)
+
+
 def stored_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a stored layer as a stream; its schema is taken from the files present."""
     return file_stream(spark, path, spark.read.format(fmt).load(path).schema, fmt)
