@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.metrics import EPSILON
+from tidemark.operators.windows import SKETCH_K, Measure
 
 WHOLE_TABLE = ":table"
 ALL_MODELS = "*"
@@ -28,20 +29,53 @@ def error_profile(
     The raw rows are aggregated once, per window and model; the all-model rows come from those
     few partial results by grouping sets, so the input is not expanded.
     """
-    p, t = F.col(prediction), F.col(label)
-    error = p - t
     per_model = (
-        df.filter(p.isNotNull() & t.isNotNull())
-        .groupBy(F.window(ts, granularity), F.col(model).cast("string").alias("model_id"))
+        judged_rows(df, ts, model, prediction, label)
+        .groupBy(F.window("at", granularity), "model_id")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.abs(error)).alias("abs_sum"),
-            F.sum(error * error).alias("sq_sum"),
-            F.sum(F.abs(error) / F.greatest(F.abs(t), F.lit(EPSILON))).alias("pct_sum"),
-            F.avg(t).alias("label_mean"),
-            (F.var_pop(t) * F.count(F.lit(1))).alias("own_spread"),
+            *[F.sum(c).alias(f"{c}_sum") for c in ERRORS],
+            F.avg("label").alias("label_mean"),
+            (F.var_pop("label") * F.count(F.lit(1))).alias("own_spread"),
         )
     )
+    return _metrics_of(per_model)
+
+
+ERRORS = ("abs", "sq", "pct")
+#: What a window and model needs for its metrics, in a form that can be stored and added up.
+PROFILE_MEASURES = (
+    Measure("n", "count"),
+    *(Measure(f"{c}_sum", "sum", c) for c in ERRORS),
+    Measure("label_mean", "mean", "label"),
+    Measure("label_std", "std", "label"),
+)
+
+
+def judged_rows(
+    df: DataFrame, ts: str = "timestamp", model: str = "model_id", prediction: str = "prediction", label: str = "fare_amount"
+) -> DataFrame:
+    """``at, model_id, label`` and the errors of the predictions that have a label."""
+    p, t = F.col(prediction), F.col(label)
+    error = p - t
+    return df.filter(p.isNotNull() & t.isNotNull()).select(
+        F.col(ts).alias("at"),
+        F.col(model).cast("string").alias("model_id"),
+        t.alias("label"),
+        F.abs(error).alias("abs"),
+        (error * error).alias("sq"),
+        (F.abs(error) / F.greatest(F.abs(t), F.lit(EPSILON))).alias("pct"),
+    )
+
+
+def profile_of_states(windows: DataFrame) -> DataFrame:
+    """The metric rows of :func:`error_profile` from windows of ``PROFILE_MEASURES`` per model."""
+    spread = F.coalesce(F.col("label_std") * F.col("label_std") * (F.col("n") - 1), F.lit(0.0))
+    return _metrics_of(windows.withColumn("own_spread", spread))
+
+
+def _metrics_of(per_model: DataFrame) -> DataFrame:
+    """Metric rows from sums per window and model."""
     # Spread of the labels around the mean of the whole window, from the per-model moments.
     same_window = Window.partitionBy("window")
     window_mean = F.sum(F.col("n") * F.col("label_mean")).over(same_window) / F.sum("n").over(same_window)
@@ -213,3 +247,78 @@ def drift_of_columns(
         "percentile",
         F.aggregate(terms, F.lit(0.0), lambda a, t: a + t).alias("stability_index"),
     )
+
+
+RANK_STEPS = 1000  # ranks told apart when the shares of two sketches are compared
+
+
+def sketch_measures(columns: Sequence[str]) -> list[Measure]:
+    """What :func:`drift_of_sketches` needs of a window: rows, and of each column the mean and a quantile sketch."""
+    each = [(Measure(f"mean_{c}", "mean", c), Measure(f"sketch_{c}", "sketch", c)) for c in columns]
+    return [Measure("rows", "count"), *(m for pair in each for m in pair)]
+
+
+def _told(windows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A line per window and column, with the number of values and their sketch."""
+    lines = [
+        F.struct(F.lit(c).alias("column_name"), "rows", F.col(f"mean_{c}").alias("mean"), F.col(f"sketch_{c}").alias("sketch"))
+        for c in columns
+    ]
+    told = windows.select("window", F.inline(F.array(*lines)))
+    return told.withColumn("values", F.kll_sketch_get_n_double("sketch"))
+
+
+def _baseline(told: DataFrame, end: str) -> DataFrame:
+    """A line per column: the sketches of the windows that end by then, as one."""
+    early = told.where((F.col("window.end") <= F.lit(str(end))) & (F.col("values") > 0))
+    return early.groupBy(F.col("column_name").alias("base_of")).agg(F.kll_merge_agg_double("sketch", SKETCH_K).alias("base"))
+
+
+def _fractions(parts: int) -> Column:
+    return F.array(*[F.lit(i / parts) for i in range(1, parts)])
+
+
+def drift_of_sketches(
+    windows: DataFrame, columns: Sequence[str], baseline_end: str, fraction: float = 0.5, points: int = 50
+) -> DataFrame:
+    """Per window and column: rows, nulls, mean, smallest, largest, a percentile, distance to the baseline.
+
+    ``windows`` hold :func:`sketch_measures`; no row is read again. ``distance`` is the largest
+    difference between the shares of values up to a point, in thousandths, in the window and in all
+    windows that end by ``baseline_end``, over the points that cut either into ``points`` equal parts.
+    Ranks are off by about one in a thousand, by nothing where a sketch holds no more values than its
+    size. Columns
+    without values, and windows without a baseline, have nulls there; a NaN counts as a null.
+    """
+    told = _told(windows, columns)
+    base = _baseline(told, baseline_end)  # as many lines as columns
+    lines = told.join(F.broadcast(base), F.col("column_name") == F.col("base_of"), "left")
+    known = F.col("values") > 0
+    steps = F.array(*[F.lit(i / RANK_STEPS) for i in range(1, RANK_STEPS + 1)])
+    lines = lines.withColumns({c: F.when(known, F.kll_sketch_get_quantile_double(s, steps)) for c, s in (("__own", "sketch"), ("__base", "base"))})
+    every = RANK_STEPS // points
+    at = F.array_union(*[F.filter(c, lambda _, n: (n + 1) % every == 0) for c in ("__own", "__base")])
+
+    def share(cuts: str, value: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut <= value)) / F.lit(float(RANK_STEPS))
+
+    apart = F.array_max(F.transform(at, lambda value: F.abs(share("__own", value) - share("__base", value))))
+    quantile = lambda share: F.when(known, F.kll_sketch_get_quantile_double("sketch", F.lit(float(share))))
+    return lines.select(
+        "window",
+        "column_name",
+        "rows",
+        (F.col("rows") - F.col("values")).alias("nulls"),
+        "mean",
+        quantile(0.0).alias("smallest"),
+        quantile(1.0).alias("largest"),
+        quantile(fraction).alias("percentile"),
+        F.when(known & F.col("base").isNotNull(), apart).alias("distance"),
+    )
+
+
+def baseline_edges(windows: DataFrame, columns: Sequence[str], baseline_end: str, buckets: int = 10) -> dict[str, list[float]]:
+    """By column, edges that cut the baseline's values into about equal buckets, for :func:`drift_of_columns`."""
+    base = _baseline(_told(windows, columns), baseline_end)
+    cut = base.select("base_of", F.array_distinct(F.kll_sketch_get_quantile_double("base", _fractions(buckets))).alias("edges"))
+    return {r.base_of: list(r.edges) for r in cut.collect()}  # as many lines as columns

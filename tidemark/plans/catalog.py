@@ -639,6 +639,35 @@ def profile_refreshed(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(stored)
 
 
+def _in_parts(rows: DataFrame, parts: int) -> list[DataFrame]:
+    """The rows dealt out by hash: each part has all days."""
+    part = F.pmod(F.xxhash64("trip_id"), F.lit(parts))
+    return [rows.where(part == n) for n in range(parts)]
+
+
+@query
+def profile_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    """A profile from stored sums of three batches that each have all days; one of them comes twice."""
+    states = monitoring.profile_states(spark, scratch_path(spark, "states"))
+    for n, part in enumerate(_in_parts(views.predictions(spark, folder), 3)):
+        monitoring.add_predictions(states, part, n)
+        if n == 1:
+            monitoring.add_predictions(states, part, n)
+    return _flat(profile.profile_of_states(states.windows()))
+
+
+@query
+def drift_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Drift of two columns from the stored sketches of two runs, of which the second reads its own rows only."""
+    trips = views.trips(spark, folder)
+    holes = trips.withColumn("fare_amount", F.when(F.col("trip_id") % 11 != 0, F.col("fare_amount")))
+    columns = ["fare_amount", "trip_distance"]
+    states = monitoring.drift_states(spark, scratch_path(spark, "sketches"), columns)
+    for n, part in enumerate(_in_parts(holes, 2)):
+        states.add(part, PICKUP, n)
+    return _flat(profile.drift_of_sketches(states.windows(), columns, RANGE[0]))
+
+
 # --- models: what SQL can repeat of their test rows ---------------------------------------
 
 

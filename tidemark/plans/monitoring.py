@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import time_range
-from tidemark.operators.profile import error_profile, is_violated, violation_check
+from tidemark.operators.profile import (
+    PROFILE_MEASURES,
+    error_profile,
+    is_violated,
+    judged_rows,
+    profile_of_states,
+    sketch_measures,
+    violation_check,
+)
 from tidemark.session import cut_lineage, require_utc
 from tidemark.sources.tables import read_table, write_named
+from tidemark.sources.window_states import WindowStates
 
 PROFILE_SUFFIX = "_profile_metrics"
 
@@ -54,3 +65,30 @@ def must_retrain(
     """Whether the stored profile of ``table`` calls for retraining."""
     profile = read_table(spark, table + PROFILE_SUFFIX)
     return is_violated(violation_check(profile, metric, threshold, windows, violations))
+
+
+DAY_MINUTES = 24 * 60
+
+
+def profile_states(spark: SparkSession, path: str, minutes: int = DAY_MINUTES) -> WindowStates:
+    """The table of partial sums of the error profile at ``path``."""
+    return WindowStates(spark, path, ["model_id"], PROFILE_MEASURES, minutes)
+
+
+def add_predictions(states: WindowStates, rows: DataFrame, batch: int, **columns: str) -> None:
+    """Add a batch of predictions with labels, of whatever time; a batch that comes again replaces itself.
+
+    ``columns`` names those of :func:`judged_rows`. No earlier prediction is read again.
+    """
+    require_utc(states.spark)
+    states.add(judged_rows(rows, **columns), "at", batch)
+
+
+def store_profile(states: WindowStates, target: str) -> None:
+    """Write the profile of all batches, a line per window and model, under the name ``target``."""
+    write_named(profile_of_states(states.windows()), target)
+
+
+def drift_states(spark: SparkSession, path: str, columns: Sequence[str], minutes: int = DAY_MINUTES) -> WindowStates:
+    """The table of counts and quantile sketches of ``columns`` at ``path``."""
+    return WindowStates(spark, path, [], sketch_measures(columns), minutes)
