@@ -100,11 +100,12 @@ def test_panes_equal_expansion(spark):
     measures = [
         Measure("n", "count"), Measure("m", "count", "temperature"), Measure("mean", "mean", "temperature"),
         Measure("low", "min", "temperature"), Measure("high", "max", "temperature"), Measure("total", "sum", "temperature"),
+        Measure("last", "newest", "pressure", by="event_time"),
     ]
 
     def result(panes):
         got = windowed_agg(readings, ["sensor_id"], "event_time", measures, 60, 15, panes)
-        return got.select("sensor_id", "window", "n", "m", "low", "high", F.round("mean", 9), F.round("total", 9))
+        return got.select("sensor_id", "window", "n", "m", "low", "high", "last", F.round("mean", 9), F.round("total", 9))
 
     assert rows(result(True), "sensor_id", "window") == rows(result(False), "sensor_id", "window")
 

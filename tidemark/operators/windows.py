@@ -17,14 +17,20 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Measure:
-    """One output column of a windowed aggregate: ``kind`` of ``column``, called ``name``."""
+    """One output column of a windowed aggregate: ``kind`` of ``column``, called ``name``.
+
+    The kind ``newest`` takes the value of the row with the largest ``by``.
+    """
 
     name: str
     kind: str
     column: str = "*"
+    by: str = ""
 
     def direct(self) -> Column:
         """The aggregate over raw rows."""
+        if self.kind == "newest":
+            return F.max_by(self.column, self.by).alias(self.name)
         return _DIRECT[self.kind](self.column).alias(self.name)
 
     def partials(self) -> list[Column]:
@@ -37,6 +43,8 @@ class Measure:
         if self.kind == "std":
             moments = (F.count(c).cast("double"), F.avg(c), F.var_pop(c) * F.count(c))
             return [m.alias(f"{n}__{part}") for m, part in zip(moments, _MOMENTS, strict=True)]
+        if self.kind == "newest":
+            return [F.max_by(c, self.by).alias(n), F.max(self.by).alias(f"{n}__by")]
         if self.kind == "sketch":
             return [self.direct().alias(f"{n}__sketch")]
         return [self.direct()]
@@ -54,6 +62,8 @@ class Measure:
             out = F.try_divide(F.sum(f"{n}__sum"), F.sum(f"{n}__n"))
         elif self.kind == "std":
             out = _deviation([f"{n}__{part}" for part in _MOMENTS], panes)
+        elif self.kind == "newest":
+            out = F.max_by(n, f"{n}__by")
         elif self.kind == "sketch":
             out = F.kll_merge_agg_double(f"{n}__sketch", SKETCH_K)
         else:

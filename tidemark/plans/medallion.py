@@ -109,31 +109,19 @@ def silver_columns(stats: DataFrame, variant: Variant) -> DataFrame:
 
 def gold(silver_rows: DataFrame, variant: Variant = TUMBLING, observe: Observation | str | None = None) -> DataFrame:
     """Hourly features from 5-minute statistics; the last pressure is the newest window's."""
-    stats = (
-        expect(silver_rows, variant.gold_rules, observe)
-        .groupBy("sensor_id", F.window("event_time", "1 hour"))
-        .agg(
-            F.avg("avg_temp_5m").alias("mean_temp_1h"),
-            F.stddev_samp("avg_temp_5m").alias("std_temp_1h"),
-            F.avg("avg_humidity_5m").alias("mean_humidity_1h"),
-            F.max_by("max_pressure_5m", "event_time").alias("last_pressure_1h"),
-            F.sum(variant.count_column).alias("total_records_1h"),
-        )
-    )
-    end = F.col("window.end")
-    columns = [
-        "sensor_id",
-        end.alias("event_time"),
-        month_key(end).alias("yyyy_mm"),
-        "mean_temp_1h",
-        "std_temp_1h",
-        "mean_humidity_1h",
-        "last_pressure_1h",
-        "total_records_1h",
+    measures = [
+        Measure("mean_temp_1h", "mean", "avg_temp_5m"),
+        Measure("std_temp_1h", "std", "avg_temp_5m"),
+        Measure("mean_humidity_1h", "mean", "avg_humidity_5m"),
+        Measure("last_pressure_1h", "newest", "max_pressure_5m", by="event_time"),
+        Measure("total_records_1h", "sum", variant.count_column),
     ]
+    stats = windowed_agg(expect(silver_rows, variant.gold_rules, observe), ["sensor_id"], "event_time", measures, size=60)
+    end = F.col("window.end")
+    out = stats.select("sensor_id", end.alias("event_time"), month_key(end).alias("yyyy_mm"), *[m.name for m in measures])
     if variant.forecast:
-        columns.append((F.col("mean_temp_1h") + epoch_seconds(end) * 1.0).alias("forecast_feature"))
-    return stats.select(*columns)
+        out = out.withColumn("forecast_feature", F.col("mean_temp_1h") + epoch_seconds(F.col("event_time")) * 1.0)
+    return out
 
 
 def medallion(readings: DataFrame, variant: Variant = TUMBLING) -> DataFrame:

@@ -410,21 +410,19 @@ SELECT window_start, window_end, column_name, slice_key, model_id, log_type, cou
        round(root_mean_squared_error, 6) AS root_mean_squared_error,
        round(mean_absolute_percentage_error, 6) AS mean_absolute_percentage_error,
        round(r2_score, 6) AS r2_score FROM profile"""
-RECENT = """recent AS (
-  SELECT window_start, window_end, model_id, root_mean_squared_error FROM profile
-  WHERE column_name = ':table' AND slice_key IS NULL AND model_id <> '*' AND log_type = 'INPUT'
-  ORDER BY window_start DESC, model_id LIMIT 5)"""
-SQL["recent_windows"] = f"""WITH {PREDS}, {PROFILE}, {RECENT}
-SELECT window_start, window_end, model_id, round(root_mean_squared_error, 6) AS root_mean_squared_error FROM recent"""
+AGED = """aged AS (
+  SELECT *, row_number() OVER (ORDER BY window_start DESC, model_id) AS age
+  FROM profile WHERE model_id <> '*')"""
+SQL["recent_windows"] = f"""WITH {PREDS}, {PROFILE}, {AGED}
+SELECT window_start, window_end, model_id, round(root_mean_squared_error, 6) AS root_mean_squared_error
+FROM aged WHERE age <= 5"""
 
 
 def violation(threshold: float) -> str:
     """Each metric row gets its age, newest first; one aggregate then looks at ages 1 to 5."""
-    return f"""WITH {PREDS}, {PROFILE}, aged AS (
-  SELECT root_mean_squared_error > {threshold} AS high,
-         row_number() OVER (ORDER BY window_start DESC, model_id) AS age
-  FROM profile WHERE column_name = ':table' AND slice_key IS NULL AND model_id <> '*' AND log_type = 'INPUT')
-SELECT CAST(count(*) FILTER (WHERE high AND age <= 5) >= 2 AND count(*) FILTER (WHERE high AND age = 1) > 0 AS INTEGER)
+    high = f"root_mean_squared_error > {threshold}"
+    return f"""WITH {PREDS}, {PROFILE}, {AGED}
+SELECT CAST(count(*) FILTER (WHERE {high} AND age <= 5) >= 2 AND count(*) FILTER (WHERE {high} AND age = 1) > 0 AS INTEGER)
        AS query_result FROM aged"""
 
 
@@ -484,9 +482,16 @@ SELECT {TESTED.format("value")} FROM events WHERE {hash_number("event_id", "123"
 SQL["train_score_forest"] = f"""WITH {READINGS}, {SLIDING}, {gold('count_records_5m')}
 SELECT {TESTED.format("mean_temp_1h")} FROM gold
 WHERE std_temp_1h IS NOT NULL AND {hash_number("sensor_id || '|' || strftime(event_time, '%Y-%m-%d %H:%M:%S')", "42")} % 100 >= 80"""
-SQL["score_table"] = """
-SELECT count(*) AS rows, CAST(0 AS BIGINT) AS without_prediction, count(DISTINCT event_id) AS trips,
-       CAST(7 AS INTEGER) AS model_id, TIMESTAMP '2024-02-01 11:00:00' AS timestamp FROM events"""
+SQL["score_table"] = f"""WITH {TRIPS}, {rounded_trips()}, {FEATURES}
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS without_prediction, count(DISTINCT t.trip_id) AS trips,
+       CAST(sum(p.count_trips_window_1h_pickup_zip) AS BIGINT) AS looked_up,
+       CAST(7 AS INTEGER) AS model_id, TIMESTAMP '2024-02-01 11:00:00' AS timestamp
+FROM rounded AS t {PICKUP_MATCH.format("t.rounded_pickup_datetime")}"""
+SQL["training_example"] = f"""WITH {READINGS}, {SLIDING}, {gold('count_records_5m')}
+SELECT round(std_temp_1h + 1.3e-10, 8) AS std_temp_1h, round(mean_humidity_1h + 1.3e-10, 8) AS mean_humidity_1h,
+       round(last_pressure_1h + 1.3e-10, 8) AS last_pressure_1h, total_records_1h
+FROM (SELECT *, sensor_id || '|' || strftime(event_time, '%Y-%m-%d %H:%M:%S') AS row_key FROM gold)
+WHERE std_temp_1h IS NOT NULL AND {hash_number("row_key", "42")} % 100 >= 80 ORDER BY row_key LIMIT 5"""
 SQL["validation_modes"] = f"""WITH {PREDS}, measured AS (
   SELECT max(abs(prediction - fare_amount)) <= 500 AND avg((prediction - fare_amount) ** 2) <= 500 AS ok FROM preds)
 SELECT 'disabled' AS mode, CAST(0 AS INTEGER) AS checks, CAST(NULL AS BOOLEAN) AS passed, FALSE AS refused

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.filters import stamp
 from tidemark.operators.lookup import join_labels
 from tidemark.plans.training import TRIP_LABEL, ScoringModel, rounded_trips
+from tidemark.session import require_utc
 from tidemark.sources.tables import read_table, write_named
 
 
@@ -30,6 +31,7 @@ def predict_batch(
 
     ``model`` may be the path of a saved model. ``mode="append"`` keeps earlier runs.
     """
+    require_utc(spark)
     if isinstance(model, str):
         model = ScoringModel.load(spark, model)
     scored = stamp(model.score(read_table(spark, input_table)), model_version, run_time)
@@ -46,5 +48,6 @@ def label_predictions(
     label: str = TRIP_LABEL,
 ) -> DataFrame:
     """Store predictions with the ground truth that has come in, as monitoring needs them."""
+    require_utc(spark)
     write_named(join_labels(read_table(spark, predictions_table), labels, on, label), output_table)
     return spark.table(output_table)

@@ -208,4 +208,9 @@ def train_sensor_model(
     train, test = hash_split(rows, "row_key", 80, 42)
     inputs = features_of(rows, label, ("row_key",))
     model = fit_forest(train, label, inputs, trees)
-    return model, regression_metrics(model.score(test), "prediction", label), test.select(*inputs).limit(5)
+    return model, regression_metrics(model.score(test), "prediction", label), input_example(test, "row_key", inputs)
+
+
+def input_example(rows: DataFrame, key: str, inputs: Sequence[str], count: int = 5) -> DataFrame:
+    """The inputs of the first rows by key, to be kept beside a model."""
+    return rows.orderBy(key).limit(count).select(*inputs)

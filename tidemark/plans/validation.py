@@ -19,6 +19,7 @@ from tidemark.operators.metrics import (
     regression_metrics,
 )
 from tidemark.plans.training import ScoringModel, rounded_trips
+from tidemark.session import require_utc
 from tidemark.sources.tables import read_sql
 
 RUN_MODES = ("disabled", "dry_run", "enabled")
@@ -109,6 +110,7 @@ def validate_trip_model(
     """Validate a trip model on the rows of a SQL query."""
     if run_mode == "disabled":
         return ValidationResult(None, None, None)
+    require_utc(spark)
     rows = rounded_trips(read_sql(spark, validation_input), view="taxi_data")
     baseline = baseline_model.score(rows) if baseline_model else None
     return validate_predictions(model.score(rows), target, run_mode, baseline=baseline, **plugins)
