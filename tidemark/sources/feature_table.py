@@ -19,7 +19,7 @@ from tidemark.functions.timekeys import month_key
 from tidemark.operators.filters import Bound, months_between, time_range
 from tidemark.operators.keys import unique_rows
 from tidemark.operators.lookup import FeatureLookup
-from tidemark.session import cut_lineage
+from tidemark.session import drop_stored, scratch_path
 from tidemark.sources.tables import column_ddl, ensure_namespace, quoted, same_path, spread_for_write, table_ident, table_location
 
 MONTH = "yyyy_mm"
@@ -114,12 +114,16 @@ class FeatureTable:
         columns = self._grown_to(df)
         incoming = unique_rows(_with_month(df, self.timestamp_key).select(*columns), self.keys)
         # Stored once: the month list and the join below both read it.
-        incoming = cut_lineage(incoming, "upsert")
-        months = [r[0] for r in incoming.select(MONTH).distinct().collect()]  # one row per month
-        if not months:
-            return
-        touched = self.spark.table(self.name).filter(F.col(MONTH).isin(months))
-        self._replace_months(merge_rows(touched, incoming, self.keys))
+        path = scratch_path(self.spark, "upsert")
+        incoming.write.parquet(path)
+        try:
+            incoming = self.spark.read.schema(incoming.schema).parquet(path)
+            months = [r[0] for r in incoming.select(MONTH).distinct().collect()]  # one row per month
+            if months:
+                touched = self.spark.table(self.name).filter(F.col(MONTH).isin(months))
+                self._replace_months(merge_rows(touched, incoming, self.keys))
+        finally:
+            drop_stored(self.spark, path)
 
     def overwrite(self, df: DataFrame) -> None:
         """Full refresh: replace every row of the table; new columns are added to it."""
