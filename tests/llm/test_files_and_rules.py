@@ -119,6 +119,100 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "A long article, with many words. " * 20
+
+
+@pytest.mark.parametrize(
+    ("page", "kept", "gone"),
+    [
+        # Names that sound like an article, or like no article, are not enough.
+        ("<div class='post-date'>1 May</div><div class='text'><p>{}</p></div>", [], ["1 May"]),
+        (
+            "<article><div class='article-header'><h1>Title</h1></div><p class='share-intro'>Intro words.</p>"
+            "<div class='form-of-life'>Life, short.</div><p>{}</p></article>",
+            ["Title", "Intro words.", "Life, short."],
+            [],
+        ),
+        ("<main><p>{}</p><ul><li><a href=x>One link here</a></li><li><a href=y>Other</a></li></ul></main>", [], ["One link", "Other"]),
+        # Without any names.
+        (
+            "<div><a href=a>Home</a> <a href=b>News</a></div><h1>Big title</h1><div><p>{}</p><p>Short one.</p></div>"
+            "<div>Copyright 2020 Foo Inc. All rights reserved.</div>",
+            ["Big title", "Short one."],
+            ["Home", "Copyright"],
+        ),
+        # A form around the page, and one in the article.
+        ("<form id=page><div>{}</div><nav><a href=x>q</a></nav></form>", [], ["q\n"]),
+        ("<article><p>{}</p><form><p>Subscribe to our news, and get it all.</p></form><table><tr><td>5<td>ab</table></article>", ["5", "ab"], ["Subscribe"]),
+        # Long comments, hidden text.
+        ("<div><p>{}</p></div><section id='comments'><p>" + "I disagree, strongly, with that. " * 30 + "</p></section>", [], ["disagree"]),
+        ("<div><p>{}</p></div><div class='comment-list'><p>" + "I disagree, strongly, with that. " * 15 + "</p></div>", [], ["disagree"]),
+        ("<article><p>{}</p><p style='display: none'>Hidden, all of it. Really.</p></article>", [], ["Hidden"]),
+    ],
+)
+def test_ratios_decide_and_names_weigh(page, kept, gone):
+    text = html_text.main_text(page.format(LONG))
+    assert LONG.strip() in text
+    assert all(k in text.split("\n\n") for k in kept) and not any(g in text for g in gone), text
+
+
+def test_short_articles_and_pages_without_any():
+    assert html_text.main_text("<article><p>The</p></article><div class=ad>Buy our things now, they are good. Really.</div>") == "The"
+    assert html_text.main_text("<nav>Menu words here.</nav><footer>Only a footer, nothing else. At all.</footer>") == ""
+    assert html_text.main_text("<p><a href=x>Whole text is a link</a></p>") == "Whole text is a link"
+
+
+def plain_scores(found):
+    """The score of each path, written out."""
+    paths = list(dict.fromkeys(b.path for b in found))
+    per = {}
+    for path in paths:
+        mine = [b for b in found if b.path == path]
+        unlinked = [max(0, len(b.text) - b.linked) for b in mine]
+        size = sum(u + 0.01 * (len(b.text) - u) for b, u in zip(mine, unlinked, strict=True)) / len(mine)
+        marks = sum(sum(c in ".,;:!?…。，、！？；：" for c in b.text) for b in mine if b.linked < len(b.text) / 2) / len(mine)
+        per[path] = (size, marks, max(b.weight for b in mine), any(not b.in_form for b in mine))
+
+    def smooth(i, what):
+        near = [per[paths[min(max(j, 0), len(paths) - 1)]][what] for j in (i - 1, i, i + 1)]
+        return (near[0] + 6 * near[1] + near[2]) / 8
+
+    level = max(b.inside for b in found)
+    outside_by = {p: 1 if any(b.inside == level for b in found if b.path == p) else (1, 0.25, 0.0625)[level] for p in paths}
+    in_forms = sum(len(b.text) for b in found if b.in_form) / max(1, sum(len(b.text) for b in found))
+    ratio, weight = {}, {}
+    for i, path in enumerate(paths):
+        size, _, named, outside = per[path]
+        length = smooth(i, 0) if size >= 10 else min(size, smooth(i, 0))
+        ratio[path] = length * (1 + 10 * smooth(i, 1) / (1 + smooth(i, 0)))
+        weight[path] = (named if outside or in_forms >= 0.8 else named / 32) * outside_by[path]
+    best = max([r for p, r in ratio.items() if weight[p] >= 1] or ratio.values())
+    return {p: (ratio[p] / best) ** 0.5 * weight[p] for p in paths}
+
+
+def test_scores_equal_plain_python_and_change_the_result(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect() if r.html]
+    pages += [AROUND.format(f"<div class=x>{ARTICLE}</div>"), "<form><p>a, b. c</p></form><p>d</p>"]
+    changed = 0
+    for page in pages:
+        found = html_text.blocks(page)
+        order, score = html_text.scores(found)
+        expected = plain_scores(found)
+        assert list(order) == list(expected)
+        assert np.allclose(score, list(expected.values()), rtol=1e-12)
+        picked = [b for b in html_text.select(found)]
+        good = {p for p, s in expected.items() if s >= html_text.THRESHOLD}
+        heads = {p[:-1] for p in good}
+        heading = lambda b: b.path[-1].split(".")[0] in html_text.HEADINGS
+        led = lambda n: next((b.path in good for b in found[n:] if not heading(b)), False)  # noqa: B023, E731
+        assert picked == [
+            b for n, b in enumerate(found)
+            if b.path in good or heading(b) and (b.path[:-1] in heads or b.weight >= 1 and led(n))
+        ]
+        changed += html_text.main_text(page, 0.0) != html_text.main_text(page)
+    assert changed > 0.9 * len(pages)
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<p>ü, ok.</p>"), (2, "v", "<p>" + "long, " * 200_000)]
     found = html_text.extract(pages_of(spark, rows))
@@ -248,11 +342,12 @@ def test_added_tokens_in_texts_are_one_id(spark):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_cover_their_whole_tables(spark, name):
     found = queries.QUERIES[name](spark, SMALL)
-    key = "page_id" if "page_id" in found.columns else "doc_id"
-    source = spark.read.parquet(f"{SMALL}/{'pages' if key == 'page_id' else 'documents'}.parquet")
+    tables = {"doc_id": "documents", "page_id": "pages", "conv_id": "conversations", "vec_id": "embeddings"}
+    key = next(k for k in tables if k in found.columns)
+    source = spark.read.parquet(f"{SMALL}/{tables[key]}.parquet")
     assert found.count() > 0
     if name != "op3_decontaminate":
-        assert found.select(key).distinct().count() == source.count()
+        assert found.select(key).distinct().count() == source.select(key).distinct().count()
 
 
 def test_pipeline_stages_hand_on_documents(spark):
