@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import itertools
 import random
 import zlib
 
@@ -339,6 +340,63 @@ def test_added_tokens_in_texts_are_one_id(spark):
         assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
 
 
+@pytest.mark.parametrize("text", [" " * 5_000_000, "\n" * 5_000_000, "a" * 5_000_000, " " * 2_000_000 + "😀" + "\t" * 2_000_000, "😀" * 300_000])
+def test_ids_of_long_runs_are_those_of_tokenizers(text):
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = packing.encode(text, *queries.vocabulary(), queries.added_tokens())
+    assert found == tokens.encode(text, add_special_tokens=False).ids
+
+
+def test_a_long_run_does_not_end_the_job(spark):
+    texts = [" " * 1_500_000, "x " + "\n" * 1_200_000 + "<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = packing.token_pieces(docs, *queries.vocabulary(), added=queries.added_tokens()).groupBy("doc_id").agg({"length": "sum"})
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = {i: len(tokens.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert dict(tuple(r) for r in found.collect()) == expected
+
+
+def test_sums_of_lengths_equal_all_combinations():
+    rng = random.Random(2)
+    for _ in range(300):
+        capacity = rng.choice((6, 11, 17))
+        left = [0] + [rng.choice((0, 0, 1, 2)) for _ in range(capacity)]
+        sums = packing._Sums(left)
+        for _ in range(6):  # pieces are used up between the questions
+            length = rng.randrange(1, capacity + 1)
+            if not left[length]:
+                continue
+            gap, most = capacity - length, rng.choice((1, 2, 3))
+            spare = [n - (i == length) for i, n in enumerate(left)]
+            fits = [
+                c for k in range(most + 1) for c in itertools.combinations_with_replacement(range(capacity, 0, -1), k)
+                if sum(c) == gap and all(c.count(i) <= spare[i] for i in set(c))
+            ]
+            found = sums.filling(gap, most, (length,))
+            assert (found is None) == (not fits) and (found is None or len(found) == min(map(len, fits)))
+            if found:
+                assert tuple(sorted(found, reverse=True)) in fits
+                for i in (length, *found):
+                    left[i] -= 1
+
+
+@pytest.mark.parametrize("capacity", [10, 100, 2048])
+def test_plans_use_every_piece_once(capacity):
+    rng = random.Random(capacity)
+    for _ in range(30):
+        counts = {rng.randrange(1, capacity + 1): rng.choice((1, 2, 50)) for _ in range(rng.randrange(0, 200))}
+        made = packing.plan(counts, capacity)
+        used = {}
+        for p in made:
+            assert sum(p.lengths) <= capacity and p.times > 0
+            for i in p.lengths:
+                used[i] = used.get(i, 0) + p.times
+        assert used == counts
+        # Best fit leaves no two sequences that would go into one.
+        total = sum(i * n for i, n in counts.items())
+        assert -(-total // capacity) <= sum(p.times for p in made) <= 2 * -(-total // capacity)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_cover_their_whole_tables(spark, name):
     found = queries.QUERIES[name](spark, SMALL)

@@ -10,9 +10,11 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, partial
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -27,8 +29,16 @@ END_ID = 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def added_tokens(tokenizer_file: str) -> tuple[tuple[str, int], ...]:
-    """Texts and ids of the added tokens of a tokenizers JSON, which it finds in any text before it splits.
+@dataclass(frozen=True)
+class AddedTokens:
+    """Texts and ids of the added tokens of a tokenizers JSON, and its path."""
+
+    tokens: tuple[tuple[str, int], ...]
+    tokenizer_file: str
+
+
+def added_tokens(tokenizer_file: str) -> AddedTokens:
+    """The added tokens of a tokenizers JSON, which it finds in any text before it splits.
 
     Tokens that take spaces with them, or only whole words, are refused.
     """
@@ -36,7 +46,7 @@ def added_tokens(tokenizer_file: str) -> tuple[tuple[str, int], ...]:
     odd = [t["content"] for t in found if t["single_word"] or t["lstrip"] or t["rstrip"]]
     if odd:
         raise ValueError(f"added tokens that depend on their surroundings: {odd}")
-    return tuple((t["content"], t["id"]) for t in found)
+    return AddedTokens(tuple((t["content"], t["id"]) for t in found), tokenizer_file)
 
 
 @cache
@@ -48,30 +58,46 @@ def _encoder(ranks_file: str, pattern: str, added: tuple[tuple[str, int], ...]):
     return tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
+@cache
+def _tokenizer(tokenizer_file: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_file)
+
+
+def encode(text: str, ranks_file: str, pattern: str, added: AddedTokens | None) -> list[int]:
+    """The ids of a text. The faster encoder gives up on about a million white-space characters in a
+    row; such a text goes to the tokenizer of the JSON, if it is known, whose ids are the same."""
+    encoder = _encoder(ranks_file, pattern, added.tokens if added else ())
+    try:
+        return encoder.encode(text, allowed_special="all") if added else encoder.encode_ordinary(text)
+    except ValueError:
+        if not added:
+            raise
+        return _tokenizer(added.tokenizer_file).encode(text, add_special_tokens=False).ids
+
+
 def token_pieces(
     docs: DataFrame,
     ranks_file: str,
     pattern: str,
     capacity: int = CAPACITY,
     with_ids: bool = False,
-    added: tuple[tuple[str, int], ...] = (),
+    added: AddedTokens | None = None,
 ) -> DataFrame:
     """One row per piece of every document: its ids, an end id after them, cut if too long.
 
     ``ranks_file`` and ``pattern`` name a byte-level vocabulary as merge ranks, read where the
-    tasks run. Strings of ``added`` (texts and ids) are one id each, others of special tokens are
-    ordinary text. A null or empty text is the end id
+    tasks run. Strings of ``added`` are one id each, others of special tokens are ordinary text. A null or empty text is the end id
     alone. Longer ones are cut into pieces of ``capacity`` ids, of which the first may be shorter.
     ``with_ids`` adds the ids of each piece as an array.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_file, pattern, added)
-        encode = partial(encoder.encode, allowed_special="all") if added else encoder.encode_ordinary
         for batch in batches:
             keys, rows, all_ids = batch.column(0).to_pylist(), [], []
             for key, text in zip(keys, batch.column(1), strict=True):
-                ids = np.array([*encode(text.as_py() or ""), END_ID], dtype="<u4")
+                ids = np.array([*encode(text.as_py() or "", ranks_file, pattern, added), END_ID], dtype="<u4")
                 at, n = 0, 0
                 while at < len(ids):
                     end = at + ((len(ids) - at) % capacity or capacity)
@@ -113,68 +139,102 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
 
 
 def _plan(counts: dict[int, int], capacity: int, most: int) -> list[Pattern]:
-    left = np.zeros(capacity + 1, dtype=np.int64)
+    left = [0] * (capacity + 1)
     for length, n in counts.items():
         if not 1 <= length <= capacity:
             raise ValueError(f"piece of {length} ids; must lie in 1..{capacity}")
         left[length] += n
+    sums = _Sums(left)
     out: list[Pattern] = []
 
     def use(lengths: tuple[int, ...]) -> None:
-        kinds, each = np.unique(lengths, return_counts=True)
-        times = int((left[kinds] // each).min())
-        left[kinds] -= times * each
+        each = Counter(lengths)
+        times = min(left[length] // n for length, n in each.items())
+        for length, n in each.items():
+            left[length] -= times * n
         out.append(Pattern(tuple(sorted(lengths, reverse=True)), times))
 
     for length in range(capacity, 0, -1):
         while left[length]:
-            found = _exact(left, length, capacity - length, most)
+            found = sums.filling(capacity - length, most, (length,))
             if found is None:
                 break
             use((length, *found))
-    while (rest := np.flatnonzero(left)).size:
-        lengths = [int(rest[-1])]
-        gap, spare = capacity - lengths[0], left.copy()
-        spare[lengths[0]] -= 1
-        while gap and (fits := np.flatnonzero(spare[: gap + 1])).size:
-            best = int(fits[-1])
-            n = int(min(spare[best], gap // best))
+    rest = [length for length in range(capacity + 1) if left[length]]
+    while rest:
+        if not left[rest[-1]]:
+            rest.pop()
+            continue
+        lengths, gap = [rest[-1]], capacity - rest[-1]
+        # The longest piece that fits, as often as it fits, then the next shorter one.
+        at = bisect_right(rest, gap) - 1
+        while gap and at >= 0:
+            best = rest[at]
+            n = min(left[best] - (best == lengths[0]), gap // best)
             lengths += [best] * n
-            spare[best] -= n
             gap -= best * n
+            at = min(at - 1, bisect_right(rest, gap) - 1)
         use(tuple(lengths))
     return out
 
 
-def _exact(left: np.ndarray, length: int, gap: int, most: int) -> tuple[int, ...] | None:
-    """One to ``most`` (at most three) available lengths that sum to ``gap`` beside ``length``, if any."""
-    if gap == 0:
-        return ()
-    free = left[: gap + 1].copy()
-    if length <= gap:
-        free[length] -= 1
-    if free[gap] > 0:
-        return (gap,)
-    pair = _pair(free, gap) if most > 1 else None
-    if pair or most < 3:
-        return pair
-    for first in np.flatnonzero(free[:gap] > 0)[::-1].tolist():
-        if 3 * first < gap:
-            return None
-        free[first] -= 1
-        pair = _pair(free, gap - first)
-        free[first] += 1
-        if pair:
-            return (first, *pair)
-    return None
-
-
-def _pair(free: np.ndarray, total: int) -> tuple[int, int] | None:
-    big = np.arange((total + 1) // 2, total)
-    small = total - big
-    fits = np.where(big == small, free[big] > 1, (free[big] > 0) & (free[small] > 0))
-    hits = np.flatnonzero(fits)
-    return (int(big[hits[-1]]), int(small[hits[-1]])) if hits.size else None
+class _Sums:
+    """Which one, two and three lengths add up to a sum, among those of which pieces are left.
+
+    The pairs of a sum, and the longest lengths of its triples, are listed once, when the sum is
+    first asked for, in the order in which they are to be used. As pieces are only ever used up, a
+    combination that lacks a piece is struck off its list for good.
+    """
+
+    def __init__(self, left: list[int]):
+        self.left = left  # pieces by length, shared with the plan
+        self.pairs: dict[int, list[int]] = {}  # by sum, the longer lengths, longest last
+        self.triples: dict[int, list[int]] = {}  # by sum, the longest lengths, longest last
+
+    def filling(self, gap: int, most: int, held: tuple[int, ...]) -> tuple[int, ...] | None:
+        """Up to ``most`` (at most three) lengths that add up to ``gap``, the fewest and then the longest first.
+
+        Of each length in ``held`` a piece is taken already.
+        """
+        if gap == 0:
+            return ()
+        if self._free(gap, held):
+            return (gap,)
+        pair = self._pair(gap, held) if most > 1 else None
+        return pair if pair or most < 3 else self._triple(gap, held)
+
+    def _free(self, length: int, held: tuple[int, ...]) -> int:
+        return self.left[length] - held.count(length)
+
+    def _pair(self, total: int, held: tuple[int, ...]) -> tuple[int, int] | None:
+        left = self.left
+        if total not in self.pairs:
+            self.pairs[total] = [big for big in range((total + 1) // 2, total) if left[big] and left[total - big]]
+        listed = self.pairs[total]
+        for at in range(len(listed) - 1, -1, -1):
+            big, small = listed[at], total - listed[at]
+            if not (left[big] and left[small]):
+                if at == len(listed) - 1:
+                    listed.pop()
+            elif self._free(big, held) > (big == small) and self._free(small, held) > 0:
+                return big, small
+        return None
+
+    def _triple(self, total: int, held: tuple[int, ...]) -> tuple[int, int, int] | None:
+        left = self.left
+        if total not in self.triples:
+            self.triples[total] = [first for first in range(-(-total // 3), total) if left[first]]
+        listed = self.triples[total]
+        for at in range(len(listed) - 1, -1, -1):
+            first = listed[at]
+            if not left[first]:
+                if at == len(listed) - 1:
+                    listed.pop()
+            elif self._free(first, held) > 0:
+                pair = self._pair(total - first, (*held, first))
+                if pair:
+                    return first, *pair
+        return None
 
 
 def _slots(patterns: list[Pattern]) -> dict[int, np.ndarray]:

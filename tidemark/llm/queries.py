@@ -83,7 +83,7 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def added_tokens() -> tuple[tuple[str, int], ...]:
+def added_tokens() -> packing.AddedTokens:
     return packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 
