@@ -244,3 +244,49 @@ def test_decontamination_of_nothing(spark):
     rows, tests = docs_of(spark, docs), spark.createDataFrame(items, "item_id long, text string")
     assert decontaminate.matches(rows.limit(0), tests).collect() == []
     assert decontaminate.matches(rows, tests.limit(0)).collect() == []
+
+
+def test_edited_copies_headings_and_excerpts_of_items(spark):
+    """Edits of every kind to all items of the benchmark, a heading that many share, parts of long items."""
+    rng = random.Random(6)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if r.text]
+    noise = [w.decode() for _, t in items for w in decontaminate.words_of(t)]
+    fresh = lambda: f"q{rng.randrange(10**6)}"
+    edits = {
+        "third replaced": lambda w: [fresh() if i % 3 == 2 else x for i, x in enumerate(w)],
+        "third dropped": lambda w: [x for i, x in enumerate(w) if i % 3 != 2],
+        "one more after two": lambda w: [y for i, x in enumerate(w) for y in ([x, fresh()] if i % 2 else [x])],
+        "a third replaced by chance": lambda w: [fresh() if rng.random() < 0.33 else x for x in w],
+        "verbatim": list,
+    }
+    docs, expected = [], {}
+    for kind, edit in edits.items():
+        for item, text in items:
+            words = [w.decode() for w in decontaminate.words_of(text)]
+            body = edit(words)
+            around = [rng.choice(noise) for _ in range(60)]
+            if decontaminate.align([w.encode() for w in body], [w.encode() for w in words])[0] >= 0.4 * 2 * len(words):
+                expected.setdefault(kind, set()).add((len(docs), item))
+            docs.append((len(docs), " ".join(around[:30] + body + around[30:])))
+    plain = len(docs)
+    docs += [(plain + n, " ".join(rng.choice(noise) for _ in range(200))) for n in range(100)]
+    heading = " ".join(fresh() for _ in range(11))
+    headed = [(1000 + n, heading + " " + " ".join(fresh() for _ in range(8))) for n in range(40)]
+    docs += [(5000 + n, heading + " " + " ".join(fresh() for _ in range(30))) for n in range(40)]
+    long = " ".join(fresh() for _ in range(1000))
+    docs += [(6000, " ".join(rng.choice(noise) for _ in range(50)) + " " + " ".join(long.split()[300:360])), (6001, "only")]
+    docs += [(6002, "rare " + " ".join(long.split()[10:18]) + " end")]
+    items += [*headed, (2000, long), (2001, "only"), (2002, "two words")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(rows, tests).collect()}
+    for kind, pairs in expected.items():
+        assert len(pairs) >= 0.8 * (len(items) - 43) and len(pairs & found) >= (0.9 if "chance" in kind else 0.95) * len(pairs), kind
+    assert not any(plain <= d < 6000 for d, _ in found)
+    assert {p for p in found if p[0] >= 6000} == {(6000, 2000), (6001, 2001)}
+    # Longer items do not widen the stretches of shorter ones.
+    grams = decontaminate.item_grams(tests, 3)
+    tables = decontaminate.bit_tables(grams)
+    assert [reach for reach, _ in tables] == [64, 4096]
+    wide = decontaminate.stretches(rows.where("doc_id < 50"), tables, 3)
+    assert all(len(r.words.split()) <= 60 + 4 * 64 + 60 for r in wide.collect())

@@ -1,11 +1,18 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-cased runs between ASCII punctuation and white space. Every n-gram of every test
-item may be a seed. One pass over the documents finds their n-grams that a fixed-size bit table
-of the items' n-grams knows, and keeps the stretches of text around them. How often each n-gram
-was met then decides: of every few neighbouring n-grams of an item the rarest is its seed, so a
-copied run of words always holds one, however common its parts are. Seeds join stretches to
-items, and alignment of their words scores each pair.
+Words are lower-cased runs between ASCII punctuation and white space. Grams of test items are three
+words, either in a row or with one word left out after the second, so that a copy of which every
+third word was changed, added or dropped still shares some. One pass over the documents finds the
+grams that a fixed-size bit table of the items' grams knows, and keeps the stretches of text around
+them, as far as the items behind the gram reach. Then two counts decide which grams are seeds:
+
+- a gram of many items is a heading of the benchmark and no seed, where its item has others;
+- of the others those met about as rarely as the item's grams mostly are, and of every few
+  neighbouring ones the rarest, so a copied run of words holds a seed however often it was copied.
+
+Seeds join stretches to items: two different ones make a pair, or one that hardly any other stretch
+has. Alignment of their words scores each pair: by the share of the item that is aligned, or by a run
+of words that are equal throughout.
 """
 
 from __future__ import annotations
@@ -22,9 +29,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import kept
 
 NGRAM = 3
-WINDOW = 2
+SKIPPING = (0, 1, 3)  # places of the words of the second kind of gram
+WINDOW = 8
+COMMON_ITEMS = 4  # items that share a gram before it counts as a heading
+RARE = 100  # documents in which a gram is rare whatever its item's others are
+FEW = 2  # stretches in which a gram is so rare that it makes a pair alone
+TIMES_USUAL = 4  # times the item's median count up to which a gram is no more common than usual
+REACHES = (64, 512, 4096)  # words; longer items have a class of their own
 TABLE_BITS = 24
 MIN_SCORE = 0.4
+MIN_RUN = 13
 MATCH, MISMATCH, GAP = 2, -1, -1
 _SPACED = bytes.maketrans(
     (string.ascii_uppercase + string.punctuation).encode(),
@@ -37,18 +51,23 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_SPACED).split()
 
 
-def gram_hashes(words: list[bytes], n: int = NGRAM) -> np.ndarray:
-    """A 64-bit hash for the ``n`` words from each place on; of fewer words, one for all of them."""
+def gram_hashes(words: list[bytes], n: int = NGRAM) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the grams, and where each starts: the ``n`` words from each place on, and
+    those of ``SKIPPING``; of fewer words, one for all of them. The hash tells words and number only."""
     if not words:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     n = min(n, len(words))
     each = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) + np.uint64(1)
-    size = len(words) - n + 1
-    h = np.full(size, n, np.uint64)
-    for i in range(n):
-        h = (h ^ each[i : i + size]) * np.uint64(_FACTORS[i % len(_FACTORS)])
-        h ^= h >> np.uint64(29)
-    return h
+    kinds = [tuple(range(n))] + ([SKIPPING] if n == len(SKIPPING) and len(words) > SKIPPING[-1] else [])
+    hashes = []
+    for places in kinds:
+        size = len(words) - places[-1]
+        h = np.full(size, n, np.uint64)
+        for i, place in enumerate(places):
+            h = (h ^ each[place : place + size]) * np.uint64(_FACTORS[i % len(_FACTORS)])
+            h ^= h >> np.uint64(29)
+        hashes.append(h)
+    return np.concatenate(hashes), np.concatenate([np.arange(len(h)) for h in hashes])
 
 
 def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,8 +86,8 @@ def item_grams(items: DataFrame, n: int) -> DataFrame:
             parts = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text)
-                grams = gram_hashes(words, n)
-                parts.append((np.full(len(grams), key), np.arange(len(grams)), grams, np.full(len(grams), len(words))))
+                grams, places = gram_hashes(words, n)
+                parts.append((np.full(len(grams), key), places, grams, np.full(len(grams), len(words))))
             columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 4
             columns = [c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64) for c in columns]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["item_id", "place", "gram", "words"])
@@ -77,46 +96,70 @@ def item_grams(items: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "item_id long, place long, gram long, words long")
 
 
-def bit_table(grams: DataFrame) -> np.ndarray:
-    """Bits of both probes of all n-grams: 2 ** TABLE_BITS of them, whatever the number of items."""
+def bit_tables(grams: DataFrame) -> list[tuple[int, np.ndarray]]:
+    """By reach, bits of both probes of the grams of items of up to so many words.
+
+    Each table has 2 ** TABLE_BITS bits, whatever the number of items; there are as many as classes
+    of length in use, four at most. Items longer than all of ``REACHES`` reach as far as the longest.
+    """
+    longest = grams.agg(F.max("words")).first()[0] or 0
+    reach = F.lit(int(longest))
+    for words in reversed(REACHES):
+        reach = F.when(F.col("words") <= words, words).otherwise(reach)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            at = np.unique(np.concatenate(_probes(hashes)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))], names=["word", "bits"]
-            )
+            reaches = batch.column(1).to_numpy(zero_copy_only=False)
+            for one in np.unique(reaches):
+                at = np.unique(np.concatenate(_probes(hashes[reaches == one])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), one)), pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))],
+                    names=["reach", "word", "bits"],
+                )
 
-    found = grams.select("gram").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    rows = found.toArrow()
-    table = np.zeros(1 << (TABLE_BITS - 5), np.uint32)
-    table[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
-    return np.unpackbits(table.view(np.uint8), bitorder="little")
+    found = grams.select("gram", reach.cast("long").alias("reach")).mapInArrow(run, "reach long, word long, bits long")
+    rows = found.groupBy("reach", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    reaches, places, bits = (rows[c].to_numpy() for c in ("reach", "word", "bits"))
+    out = []
+    for one in np.unique(reaches).tolist():
+        table = np.zeros(1 << (TABLE_BITS - 5), np.uint32)
+        mine = reaches == one
+        table[places[mine]] = bits[mine].astype(np.uint32)
+        out.append((one, table.view(np.uint8)))
+    return out
 
 
-def stretches(docs: DataFrame, known: np.ndarray, n: int, reach: int) -> DataFrame:
-    """``(doc_id, stretch, words, grams)``: parts of documents around n-grams that ``known`` has.
+def stretches(docs: DataFrame, tables: list[tuple[int, np.ndarray]], n: int) -> DataFrame:
+    """``(doc_id, stretch, words, grams)``: parts of documents around grams that a table has.
 
-    A part goes ``reach`` words past its first and last such n-gram; parts that touch are one.
+    A part goes past a gram twice the length of the items that may hold it; parts that touch are one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(known))
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(shared.value).view(bool)
+        known = [(2 * reach, np.unpackbits(bits, bitorder="little").view(bool)) for reach, bits in shared.value]
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = words_of(text.as_py())
-                grams = gram_hashes(words, n)
+                grams, places = gram_hashes(words, n)
                 first, second = _probes(grams)
-                at = np.flatnonzero(table[first])
-                at = at[table[second[at]]]
+                around = np.full(len(grams), -1)
+                for reach, table in known:
+                    at = np.flatnonzero(table[first])
+                    at = at[table[second[at]]]
+                    around[at] = np.maximum(around[at], reach)
+                at = np.flatnonzero(around >= 0)
                 if not at.size:
                     continue
-                for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * reach + n) + 1):
-                    lo, hi = max(0, int(part[0]) - reach), min(len(words), int(part[-1]) + n + reach)
-                    rows.append((key, lo, b" ".join(words[lo:hi]), np.unique(grams[part]).view(np.int64)))
+                lo = np.maximum(0, places[at] - around[at])
+                hi = np.minimum(len(words), places[at] + SKIPPING[-1] + 1 + around[at])
+                order = np.argsort(lo, kind="stable")
+                at, lo, end = at[order], lo[order], np.maximum.accumulate(hi[order])
+                for part in np.split(np.arange(len(at)), np.flatnonzero(lo[1:] > end[:-1]) + 1):
+                    here, there = int(lo[part[0]]), int(end[part[-1]])
+                    rows.append((key, here, b" ".join(words[here:there]), np.unique(grams[at[part]]).view(np.int64)))
             for some in range(0, len(rows), 2000):
                 keys, los, texts, found = zip(*rows[some : some + 2000], strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -133,6 +176,24 @@ def stretches(docs: DataFrame, known: np.ndarray, n: int, reach: int) -> DataFra
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def seeds_of(grams: DataFrame, often: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``(item_id, gram)``: the grams that join documents to items.
+
+    ``often`` has in how many stretches each gram was met; a gram that none has is no help.
+    """
+    items = grams.groupBy("gram").agg(F.count_distinct("item_id").alias("items"))
+    met = grams.join(often, "gram").join(items, "gram")
+    # A heading stays only where an item has nothing else.
+    own = grams.join(items, "gram").groupBy("item_id").agg(F.min("items").alias("fewest"))
+    met = met.join(own, "item_id").where((F.col("items") <= COMMON_ITEMS) | (F.col("fewest") > COMMON_ITEMS))
+    usual = met.groupBy("item_id").agg(F.percentile_approx("often", 0.5).alias("usual"))
+    rare = met.join(usual, "item_id").where(F.col("often") <= F.greatest(F.lit(RARE), TIMES_USUAL * F.col("usual")))
+    places = F.sequence(F.greatest(F.lit(0), F.col("place") - (window - 1)), F.col("place"))
+    runs = met.select("item_id", "gram", "often", F.explode(places).alias("run"))
+    rarest = runs.groupBy("item_id", "run").agg(F.min_by("gram", F.struct("often", "gram")).alias("gram"))
+    return rare.select("item_id", "gram").union(rarest.select("item_id", "gram")).distinct()
+
+
 def align(document: list[bytes], item: list[bytes]) -> tuple[int, int, int]:
     """Best local alignment of words: its score, and where it starts and ends in the document.
 
@@ -164,27 +225,43 @@ def align(document: list[bytes], item: list[bytes]) -> tuple[int, int, int]:
     return best
 
 
+def longest_run(document: list[bytes], item: list[bytes]) -> int:
+    """The most words in a row that both have."""
+    number: dict[bytes, int] = {}
+    doc = np.array([number.setdefault(w, len(number)) for w in document], dtype=np.int64)
+    runs, best = np.zeros(len(doc) + 1, np.int64), 0
+    for word in item:
+        runs[1:] = np.where(doc == number.get(word, -1), runs[:-1] + 1, 0)
+        best = max(best, int(runs.max()))
+    return best
+
+
 def matches(
-    docs: DataFrame, items: DataFrame, n: int = NGRAM, window: int = WINDOW, min_score: float = MIN_SCORE
+    docs: DataFrame,
+    items: DataFrame,
+    n: int = NGRAM,
+    window: int = WINDOW,
+    min_score: float = MIN_SCORE,
+    min_run: int = MIN_RUN,
 ) -> DataFrame:
     """``(doc_id, item_id, score, first_word, end_word)``: documents that hold an item or an edit of it.
 
-    ``score`` is that of the best local alignment over that of the item with itself, 0 to 1;
-    rows from ``min_score`` on. The places count words of the document. Null or wordless texts,
-    null ids and empty tables give no rows; rows that repeat an id count together, the best
-    score stands. Other columns are ignored.
+    ``score`` is that of the best local alignment over that of the item with itself, 0 to 1; rows
+    from ``min_score`` on, or with ``min_run`` words in a row that are the item's, however long it
+    is. An item of fewer words than a gram is found in texts that are it and nothing else. The places
+    count words of the document. Null or wordless texts, null ids and empty tables give no rows; rows
+    that repeat an id count together, the best score stands. Other columns are ignored.
     """
     grams = kept(item_grams(items, n))
-    longest = grams.agg(F.max("words")).first()[0] or 0
-    met = kept(stretches(docs, bit_table(grams), n, 2 * longest))
+    met = kept(stretches(docs, bit_tables(grams), n))
     hits = met.select("doc_id", "stretch", F.explode("grams").alias("gram"))
     often = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
-    ranked = grams.join(often, "gram")
-    # The rarest of each run of neighbouring n-grams; an n-gram that no document has is no help.
-    runs = ranked.select("item_id", "gram", "often", "place", F.explode(F.expr(f"sequence(greatest(0, place - {window - 1}), place)")).alias("run"))
-    seeds = runs.groupBy("item_id", "run").agg(F.min_by("gram", F.struct("often", "gram")).alias("gram"))
-    seeds = seeds.select("item_id", "gram").distinct()
-    pairs = hits.join(seeds, "gram").select("doc_id", "stretch", "item_id").distinct()
+    seeds = seeds_of(grams, often, window).join(often, "gram")
+    shared = hits.join(seeds, "gram").groupBy("doc_id", "stretch", "item_id")
+    shared = shared.agg(F.count(F.lit(1)).alias("seeds"), F.min("often").alias("often"))
+    lone = grams.groupBy("item_id").agg((F.count_distinct("gram") == 1).alias("lone"))  # an item with one gram has no second
+    pairs = shared.join(lone, "item_id").where((F.col("seeds") > 1) | (F.col("often") <= FEW) | F.col("lone"))
+    pairs = pairs.select("doc_id", "stretch", "item_id")
     texts = items.where("item_id is not null").select(F.col("item_id").cast("long"), F.col("text").alias("item"))
     ready = pairs.join(met.select("doc_id", "stretch", "words"), ["doc_id", "stretch"]).join(texts, "item_id")
 
@@ -195,8 +272,12 @@ def matches(
                 words = words_of(test)
                 if not words:
                     continue
-                score, first, end = align(text.split(), words)
-                rows.append((doc, item, score / (MATCH * len(words)), lo + first, lo + end))
+                found = text.split()
+                score, first, end = align(found, words)
+                share = score / (MATCH * len(words))
+                # An equal run of so many words alone scores as much.
+                if share >= min_score or score >= MATCH * min_run and longest_run(found, words) >= min_run:
+                    rows.append((doc, item, share, lo + first, lo + end))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
@@ -207,8 +288,7 @@ def matches(
     scored = ready.select("doc_id", "item_id", "stretch", "words", "item").mapInArrow(
         run, "doc_id long, item_id long, score double, first_word long, end_word long"
     )
-    best = scored.where(F.col("score") >= min_score).groupBy("doc_id", "item_id")
-    return best.agg(F.max(F.struct("score", -F.col("first_word"), "end_word")).alias("b")).select(
+    return scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", -F.col("first_word"), "end_word")).alias("b")).select(
         "doc_id", "item_id", "b.score", (-F.col("b.col2")).alias("first_word"), "b.end_word"
     )
 
