@@ -1,9 +1,11 @@
 """WARC archives, page text, url rules and packing."""
 
+import base64
 import hashlib
 import io
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -59,6 +61,53 @@ def test_archives_read_back_what_was_written(spark):
     assert warc.read(empty).collect() == []
 
 
+def test_written_records_have_what_the_format_demands(spark):
+    archives = warc.write(pages_of(spark, PAGE_ROWS), scratch_path(spark, "warc"))
+    heads = []
+    for path in [r.path for r in archives.collect()]:
+        with open(path.removeprefix("file:"), "rb") as stream:
+            heads += [r.head for r in warc.records(stream)]
+    assert len({h["warc-record-id"] for h in heads}) == len(heads) == len(PAGE_ROWS)
+    for h in heads:
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", h["warc-record-id"])
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["warc-date"])
+        assert {"warc-type", "content-length", "content-type", "warc-target-uri"} <= set(h)
+        if h["warc-type"] == "revisit":
+            assert {"warc-profile", "warc-refers-to-target-uri", "warc-refers-to-date"} <= set(h)
+    assert [h["warc-refers-to-target-uri"] for h in heads if h.get("x-page-id") == "2"] == ["http://a/2"]
+
+
+def crawled(kind, block, content="application/http; msgtype=response", **head):
+    told = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:0>", "WARC-Date": "2024-01-01T00:00:00Z"} | head
+    told |= ({"Content-Type": content} if content else {}) | {"Content-Length": str(len(block))}
+    lines = ["WARC/1.0", *(f"{k}: {v}" for k, v in told.items())]
+    return warc.gzip_member("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_writers():
+    """What public crawls write: SHA-1 in base 32, records without an HTTP head, requests."""
+    body = b"<p>crawled</p>\r\n\r\nmore"
+    http = b"HTTP/1.1 200 OK\r\nX-A: b\r\n\r\n" + body
+    sha1 = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    plain = b"software: x\r\n\r\nformat: WARC\r\n"
+    data = [
+        crawled("warcinfo", plain, "application/warc-fields"),
+        crawled("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "application/http; msgtype=request"),
+        crawled("response", http, **{"WARC-Block-Digest": sha1(http), "WARC-Payload-Digest": sha1(body)}),
+        crawled("response", http, None, **{"WARC-Payload-Digest": "SHA-256:" + hashlib.sha256(body).hexdigest().upper()}),
+        crawled("response", http, **{"WARC-Payload-Digest": "blake9:whatever", "WARC-Block-Digest": "md5:short"}),
+        crawled("response", http, **{"WARC-Payload-Digest": sha1(b"other")}),
+        crawled("resource", body, "text/html", **{"WARC-Payload-Digest": sha1(body)}),
+        crawled("revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n", **{"WARC-Payload-Digest": sha1(body)}),
+        crawled("metadata", b"a: b\r\n", "application/warc-fields"),
+    ]
+    found = list(warc.records(io.BytesIO(b"".join(data))))
+    assert [r.problem for r in found] == [None] * 5 + ["the payload differs from its digest"] + [None] * 3
+    assert found[0].payload == plain and found[1].payload == b"" and found[6].payload == body
+    assert all(found[i].payload == body and found[i].payload_digest == hashlib.sha256(body).hexdigest() for i in (2, 3, 4))
+    assert found[7].payload is None and found[7].payload_digest == sha1(body) and found[7].payload_bytes == 0
+
+
 def archive(n=4):
     return [warc.gzip_member(warc.record(i, "u", b"body %d" % i * 50, hashlib.sha256(b"body %d" % i * 50).hexdigest(), None)) for i in range(n)]
 
