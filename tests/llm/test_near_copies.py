@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import golay, merkle, repeats, simhash
+from tidemark.llm import golay, merkle, queries, repeats, simhash
+from tidemark.session import scratch_path
 from tidemark.llm.components import components
 
 DOCS = "doc_id long, text string, fp long, spans string"  # two columns with names the operators use
@@ -236,3 +237,43 @@ def test_likeness_and_odd_rows(spark):
     one = merkle.edited(spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")).first()
     assert one.edited_text == "abcdefab" and one.next_root == one.root
     assert merkle.edited(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_likeness_survives_insertions_and_white_space(spark):
+    """Sketches against all runs of three words, written out; a word put in front changes hardly anything."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(400)}" for _ in range(300)]
+    texts = {
+        1: " ".join(words),
+        2: "new " + " ".join(words),
+        3: "\n\n".join(" ".join(words[i : i + 30]) for i in range(0, 300, 30)),
+        4: " ".join(words[:150] + ["put", "in"] + words[150:]),
+        5: " ".join(f"v{n}" for n in range(300)),
+        6: "one two",
+        7: " one\ttwo\n",
+        8: " \n ",
+    }
+    found = {r.doc_id: r for r in merkle.fingerprints(frame(spark, list(texts.items()))).collect()}
+    runs = {i: {tuple(t.split()[n : n + 3]) for n in range(max(1, len(t.split()) - 2))} - {()} for i, t in texts.items()}
+    for i, r in found.items():
+        assert len(r.sketch) == min(64, len(runs[i])) and r.sketch == sorted(r.sketch)
+    pairs = spark.createDataFrame(
+        [(i, j, found[i].root, found[i].sketch, found[j].root, found[j].sketch) for i in texts for j in texts],
+        "i int, j int, a string, x array<long>, b string, y array<long>",
+    )
+    near = {(r.i, r.j): r.near for r in pairs.select("i", "j", merkle.likeness(*map(F.col, "axby")).alias("near")).collect()}
+    for i, j in near:
+        exact = len(runs[i] & runs[j]) / max(1, len(runs[i] | runs[j]))
+        assert near[i, j] == 1.0 if i == j else abs(near[i, j] - exact) < 0.25
+        assert near[i, j] == near[j, i]
+    assert near[1, 2] > 0.9 and near[1, 3] == near[6, 7] == 1.0 and near[1, 4] > 0.85
+    assert near[1, 5] == near[5, 6] == near[1, 8] == 0.0
+
+
+def test_query_names_the_branches_an_edit_changes(spark):
+    folder = scratch_path(spark, "merkle-test")
+    texts = {1: "a b\nc d\n\ne f\ng h", 2: "x y\nz", 3: None, 4: ""}
+    frame(spark, list(texts.items())).write.parquet(f"{folder}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op4_merkle(spark, folder).collect()}
+    assert (found[1].changed_paragraphs, found[1].first_change) == (2, "1/0")  # "e fx y" and an empty one
+    assert (found[4].changed_paragraphs, found[4].first_change, found[3].changed_paragraphs) == (0, "", 0)

@@ -3,8 +3,10 @@
 All of it is DataFrame expressions. Sections are separated by blank lines, paragraphs by line
 ends; a paragraph's hash covers its text, a section's the hashes of its paragraphs, the root
 those of its sections. Equal roots mean equal texts; where roots differ, comparing the branches
-finds the sections and paragraphs that differ. Below the paragraphs, runs of a few words are
-hashed, and the smallest of these hashes are a sketch whose overlap tells how alike texts are.
+finds the sections and paragraphs that differ. Below the paragraphs, the three words from every
+place on are hashed, whatever white space lies between them, and the smallest of these hashes are a
+sketch whose overlap tells how alike texts are: a word put in or taken out changes the runs that hold
+it and no others.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import kept, long_id
 
 SKETCH = 64
-RUN = r"(?:[^ \t\r\n]+[ \t]*){1,3}"
+WORD = r"[^ \t\r\n]+"
 SECTION_MARK = "\n\n"
 
 
@@ -30,15 +32,23 @@ def tree(text: Column, sketch: int = SKETCH) -> dict[str, Column]:
         F.split(whole, SECTION_MARK, -1), lambda s: F.transform(F.split(s, "\n", -1), lambda p: F.sha2(p, 256))
     )
     sections = F.transform(leaves, lambda p: F.sha2(F.array_join(p, ","), 256))
-    runs = F.regexp_extract_all(whole, F.lit(RUN), F.lit(0))
     return {
         "root": F.sha2(F.array_join(sections, ";"), 256),
         "sections": sections,
         "paragraphs": leaves,
-        "sketch": F.slice(F.array_sort(F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r)))), 1, sketch),
+        "sketch": F.slice(F.array_sort(F.array_distinct(_runs(whole))), 1, sketch),
     }
 
 
+def _runs(text: Column) -> Column:
+    """Hashes of the three words from every place on; of fewer words, one for all of them."""
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    later = [F.slice(words, n, F.greatest(F.size(words), F.lit(1))) for n in (2, 3)]
+    placed = F.arrays_zip(words.alias("a"), later[0].alias("b"), later[1].alias("c"))
+    whole = F.slice(placed, 1, F.greatest(F.size(words) - 2, F.lit(1)))
+    return F.transform(whole, lambda r: F.xxhash64(r["a"], r["b"], r["c"]))
+
+
 def print_string(root: Column, sketch: Column) -> Column:
     """A fingerprint in one string: the root, then the sketch in hexadecimal."""
     return F.concat(root, F.lit("-"), F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), ""))

@@ -61,6 +61,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.edited(table(spark, sf_dir, "documents"))
+    changed = merkle.differing(*map(F.col, ("sections", "paragraphs", "edited_sections", "edited_paragraphs")))
     return found.select(
         "doc_id",
         "n_chars",
@@ -69,6 +70,8 @@ def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.print_string(F.col("edited_root"), F.col("edited_sketch")).alias("edited_fingerprint"),
         merkle.likeness(*map(F.col, ("root", "sketch", "edited_root", "edited_sketch"))).alias("near_edited"),
         merkle.likeness(*map(F.col, ("root", "sketch", "next_root", "next_sketch"))).alias("near_next"),
+        F.size(changed).alias("changed_paragraphs"),
+        F.concat_ws("/", F.get(changed, F.lit(0))["section"], F.get(changed, F.lit(0))["paragraph"]).alias("first_change"),
     )
 
 
