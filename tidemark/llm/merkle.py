@@ -36,17 +36,22 @@ def tree(text: Column, sketch: int = SKETCH) -> dict[str, Column]:
         "root": F.sha2(F.array_join(sections, ";"), 256),
         "sections": sections,
         "paragraphs": leaves,
-        "sketch": F.slice(F.array_sort(F.array_distinct(_runs(whole))), 1, sketch),
+        "sketch": F.slice(F.sort_array(F.array_distinct(_runs(whole))), 1, sketch),
     }
 
 
 def _runs(text: Column) -> Column:
     """Hashes of the three words from every place on; of fewer words, one for all of them."""
+
+    def of_words(words: Column) -> Column:
+        later = [F.slice(words, n, F.greatest(F.size(words), F.lit(1))) for n in (2, 3)]
+        placed = F.arrays_zip(words, *later)
+        whole = F.slice(placed, 1, F.greatest(F.size(words) - 2, F.lit(1)))
+        return F.transform(whole, lambda r: F.xxhash64(r))
+
+    # Within an array of one, the words are found once and then have a name.
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    later = [F.slice(words, n, F.greatest(F.size(words), F.lit(1))) for n in (2, 3)]
-    placed = F.arrays_zip(words.alias("a"), later[0].alias("b"), later[1].alias("c"))
-    whole = F.slice(placed, 1, F.greatest(F.size(words) - 2, F.lit(1)))
-    return F.transform(whole, lambda r: F.xxhash64(r["a"], r["b"], r["c"]))
+    return F.get(F.transform(F.array(words), of_words), F.lit(0))
 
 
 def print_string(root: Column, sketch: Column) -> Column:
@@ -117,28 +122,31 @@ def edited(docs: DataFrame) -> DataFrame:
     predecessor needs is sent to it.
     """
     rows = docs.select(long_id(docs), F.coalesce("text", F.lit("")).alias("text"))
+    own = tree(F.col("text"))
+    rows = rows.select("*", own["root"].alias("root"), own["sketch"].alias("sketch"))
     placed = rows.where("doc_id is not null")  # the same rows and columns on both joins: dealt out once
     need = placed.groupBy("doc_id").agg(F.floor(F.max(F.char_length("text")) / 4).alias("need"))
     asked = next_ids(placed).join(need, "doc_id").withColumnRenamed("doc_id", "for_id")
     source = placed.join(asked, placed.doc_id == asked.next_id)
-    own = tree(F.col("text"))
     sent = source.select(
         "for_id",
         F.expr("substring(text, 1, cast(need as int))").alias("head"),
-        own["root"].alias("next_root"),
-        own["sketch"].alias("next_sketch"),
+        F.col("root").alias("next_root"),
+        F.col("sketch").alias("next_sketch"),
         F.xxhash64("text").alias("tie"),
     )
     sent = sent.groupBy("for_id").agg(F.min_by(F.struct("head", "next_root", "next_sketch"), F.struct("head", "tie")).alias("s"))
-    joined = placed.join(sent, placed.doc_id == sent.for_id).select("doc_id", "text", "s")
+    joined = placed.join(sent, placed.doc_id == sent.for_id).select(*rows.columns, "s")
     empty = tree(F.lit(""))
     nothing = F.struct(F.lit("").alias("head"), empty["root"].alias("next_root"), empty["sketch"].alias("next_sketch"))
-    lost = rows.where("doc_id is null").select("doc_id", "text", nothing.alias("s"))
+    lost = rows.where("doc_id is null").select(*rows.columns, nothing.alias("s"))
     n_chars = F.char_length("text").cast("long")
     cut = F.expr("cast(floor(char_length(text) / 4) as int)")
     text = F.concat(F.substring("text", F.lit(1), F.char_length("text") - cut), F.substring("s.head", F.lit(1), cut))
     with_edit = joined.union(lost).select(
         "doc_id",
+        "root",
+        "sketch",
         n_chars.alias("n_chars"),
         "text",
         text.alias("edited_text"),
@@ -152,6 +160,8 @@ def edited(docs: DataFrame) -> DataFrame:
         "edited_text",
         "next_root",
         "next_sketch",
-        *(a[c].alias(c) for c in ("root", "sections", "paragraphs", "sketch")),
+        "root",
+        "sketch",
+        *(a[c].alias(c) for c in ("sections", "paragraphs")),
         *(b[c].alias(f"edited_{c}") for c in ("root", "sections", "paragraphs", "sketch")),
     )
