@@ -249,7 +249,7 @@ def drift_of_columns(
     )
 
 
-RANK_STEPS = 1000  # ranks told apart when the shares of two sketches are compared
+RANK_STEPS = 1024  # ranks told apart when two sketches are compared; a power of two, so that ranks are exact
 
 
 def sketch_measures(columns: Sequence[str]) -> list[Measure]:
@@ -279,12 +279,12 @@ def _fractions(parts: int) -> Column:
 
 
 def drift_of_sketches(
-    windows: DataFrame, columns: Sequence[str], baseline_end: str, fraction: float = 0.5, points: int = 50
+    windows: DataFrame, columns: Sequence[str], baseline_end: str, fraction: float = 0.5, points: int = 64
 ) -> DataFrame:
     """Per window and column: rows, nulls, mean, smallest, largest, a percentile, distance to the baseline.
 
     ``windows`` hold :func:`sketch_measures`; no row is read again. ``distance`` is the largest
-    difference between the shares of values up to a point, in thousandths, in the window and in all
+    difference between the shares of values up to a point, in steps of 1/1024, in the window and in all
     windows that end by ``baseline_end``, over the points that cut either into ``points`` equal parts.
     Ranks are off by about one in a thousand, by nothing where a sketch holds no more values than its
     size. Columns

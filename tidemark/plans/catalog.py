@@ -665,7 +665,8 @@ def drift_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
     states = monitoring.drift_states(spark, scratch_path(spark, "sketches"), columns)
     for n, part in enumerate(_in_parts(holes, 2)):
         states.add(part, PICKUP, n)
-    return _flat(profile.drift_of_sketches(states.windows(), columns, RANGE[0]))
+    found = profile.drift_of_sketches(states.windows(), columns, RANGE[0])
+    return settled(found.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")}).drop("window"))
 
 
 # --- models: what SQL can repeat of their test rows ---------------------------------------

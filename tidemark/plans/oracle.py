@@ -524,7 +524,7 @@ _BOTH_MONTHS = READINGS.replace("readings AS (", "first_month AS (") + """, read
 SQL["refresh_from_month"] = f"WITH {_BOTH_MONTHS}, {TUMBLING}, {gold('count_5m')} SELECT {GOLD_COLUMNS} FROM gold"
 SQL["stream_rescue_nested"] = SQL["rescue_nested"]
 SQL["profile_from_states"] = SQL["profile_by_day_model"]
-SQL["drift_from_sketches"] = f"""WITH {TRIPS}, steps AS (SELECT list(i / 1000 ORDER BY i) AS s FROM range(1, 1001) AS r(i)),
+SQL["drift_from_sketches"] = f"""WITH {TRIPS}, steps AS (SELECT list(i ORDER BY i) AS s FROM range(1, 1025) AS r(i)),
 told AS (
   SELECT date_trunc('day', tpep_pickup_datetime)::TIMESTAMP AS d,
          unnest(['fare_amount', 'trip_distance']) AS column_name,
@@ -533,20 +533,20 @@ told AS (
 sorted AS (
   SELECT d, column_name, count(*) AS n_rows, count(v) AS n, avg(v) AS mean,
          list_sort(list(v) FILTER (v IS NOT NULL)) AS vs FROM told GROUP BY ALL),
-cut AS (SELECT *, list_transform(s, lambda share: vs[ceil(share * n)::BIGINT]) AS cuts FROM sorted, steps),
+cut AS (SELECT *, list_transform(s, lambda i: vs[(i * n + 1023) // 1024]) AS cuts FROM sorted, steps),
 early AS (
   SELECT column_name, count(v) AS n, list_sort(list(v)) AS vs
   FROM told WHERE d + INTERVAL '1 day' <= TIMESTAMP '2024-01-10' AND v IS NOT NULL GROUP BY 1),
-base AS (SELECT column_name, list_transform(s, lambda share: vs[ceil(share * n)::BIGINT]) AS base_cuts FROM early, steps),
+base AS (SELECT column_name, list_transform(s, lambda i: vs[(i * n + 1023) // 1024]) AS base_cuts FROM early, steps),
 days AS (
-  SELECT cut.*, vs[1] AS smallest, vs[-1] AS largest, vs[ceil(0.5 * n)::BIGINT] AS percentile, base_cuts,
-         list_filter(list_concat(cuts, base_cuts), lambda value, place: place % 20 = 0) AS points
+  SELECT cut.*, vs[1] AS smallest, vs[-1] AS largest, vs[(n + 1) // 2] AS percentile, base_cuts,
+         list_filter(list_concat(cuts, base_cuts), lambda value, place: place % 16 = 0) AS points
   FROM cut LEFT JOIN base USING (column_name)),
 apart AS (
   SELECT d, column_name, list_max(list_transform(points, lambda p: abs(
-           len(list_filter(cuts, lambda c: c <= p)) - len(list_filter(base_cuts, lambda c: c <= p))))) / 1000 AS distance
+           len(list_filter(cuts, lambda c: c <= p)) - len(list_filter(base_cuts, lambda c: c <= p))))) / 1024 AS distance
   FROM days WHERE n > 0)
 SELECT d AS window_start, d + INTERVAL '1 day' AS window_end, column_name, n_rows AS rows, n_rows - n AS nulls,
-       round(mean, 6) AS mean, round(smallest, 6) AS smallest, round(largest, 6) AS largest,
-       round(percentile, 6) AS percentile, round(distance, 6) AS distance
+       round(mean + 1.3e-10, 8) AS mean, round(smallest + 1.3e-10, 8) AS smallest, round(largest + 1.3e-10, 8) AS largest,
+       round(percentile + 1.3e-10, 8) AS percentile, round(distance + 1.3e-10, 8) AS distance
 FROM days LEFT JOIN apart USING (d, column_name)"""
