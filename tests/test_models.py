@@ -258,3 +258,10 @@ def test_rows_without_a_key_are_split_and_trained_on(spark):
     )
     _, scores = train_trip_model(trips, [], rounds=2)
     assert scores.first()["root_mean_squared_error"] < 50
+
+
+def test_models_beat_the_mean_of_their_test_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    gold = medallion.medallion(views.readings(spark, folder), medallion.SLIDING_BATCH)
+    _, scores, example = training.train_sensor_model(gold, trees=10)
+    assert scores.first()["r2_score"] > 0 and example.count() == 5

@@ -673,12 +673,12 @@ def drift_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _test_summary(scores: DataFrame) -> DataFrame:
-    """Which rows were tested, and whether the model beat the mean of their labels."""
+    """Which rows were tested, and the error of the mean of their labels, as the model's metrics have it."""
     return scores.select(
         "example_count",
         F.round("sum_on_target", 2).alias("label_sum"),
         F.round("mean_on_target", 4).alias("label_mean"),
-        (F.col("r2_score") > 0).alias("beats_mean"),
+        F.round(F.try_divide(F.col("mean_squared_error"), 1 - F.col("r2_score")), 4).alias("error_of_mean"),
     )
 
 
