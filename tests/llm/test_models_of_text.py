@@ -290,3 +290,29 @@ def test_edited_copies_headings_and_excerpts_of_items(spark):
     assert [reach for reach, _ in tables] == [64, 4096]
     wide = decontaminate.stretches(rows.where("doc_id < 50"), tables, 3)
     assert all(len(r.words.split()) <= 60 + 4 * 64 + 60 for r in wide.collect())
+
+
+def test_common_seeds_single_seeds_and_templates_lose_no_pair(spark):
+    """What a document holds of an item counts whatever other documents and items hold of it."""
+    fresh = iter(range(10**6))
+    text = lambda n: [f"c{next(fresh)}" for _ in range(n)]
+    long, short, (left, right) = text(22), text(7), (text(20), text(19))
+    items = [(0, " ".join(long)), (1, " ".join(short))]
+    items += [(10 + n, " ".join([*left, *text(1), *right])) for n in range(6)]
+    bodies = [(0, long), *[(1 + n, long[:9]) for n in range(150)], *[(200 + n, short[2:5]) for n in range(5)]]
+    bodies += [(300, [*left, *text(1), *right])]
+    docs = [(i, " ".join([*text(30), *body, *text(30)])) for i, body in bodies]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    found = decontaminate.matches(rows, spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = {(d, i) for d, body in bodies for i, item in items if brute_alignment(body, item.split()) >= 0.4 * 2 * len(item.split())}
+    assert len(expected) == 1 + 150 + 5 + 6 and {(r.doc_id, r.item_id) for r in found} == expected
+
+
+def test_bound_of_alignments():
+    rng = random.Random(9)
+    for _ in range(200):
+        document = [b"%d" % rng.randrange(9) for _ in range(rng.randrange(0, 30))]
+        item = [b"%d" % rng.randrange(9) for _ in range(rng.randrange(1, 12))]
+        known = np.array([w in set(item) for w in document], bool)
+        assert decontaminate.highest_score(known) >= brute_alignment(document, item)
+    assert decontaminate.highest_score(np.array([False, True, True, False, True, False, False])) == 5

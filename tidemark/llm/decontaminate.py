@@ -1,18 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs between ASCII punctuation and white space. Grams of test items are three
 words, either in a row or with one word left out after the second, so that a copy of which every
 third word was changed, added or dropped still shares some. One pass over the documents finds the
 grams that a fixed-size bit table of the items' grams knows, and keeps the stretches of text around
-them, as far as the items behind the gram reach. Then two counts decide which grams are seeds:
+them, as far as the items behind the gram reach.
 
-- a gram of many items is a heading of the benchmark and no seed, where its item has others;
-- of the others those met about as rarely as the item's grams mostly are, and of every few
-  neighbouring ones the rarest, so a copied run of words holds a seed however often it was copied.
-
-Seeds join stretches to items: two different ones make a pair, or one that hardly any other stretch
-has. Alignment of their words scores each pair: by the share of the item that is aligned, or by a run
-of words that are equal throughout.
+Every gram of an item is a seed, however often it was met, and one shared seed makes a pair. Only what
+many items share says nothing of a single one: grams of a heading of the benchmark are no seeds of an
+item that has a part of its own. Alignment of their words scores each pair: by the share of the item
+that is aligned, or by a run of words that are equal throughout. Pairs that a bound shows to stay below
+both are not aligned.
 """
 
 from __future__ import annotations
@@ -20,6 +18,7 @@ from __future__ import annotations
 import string
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +29,7 @@ from tidemark.llm.common import kept
 
 NGRAM = 3
 SKIPPING = (0, 1, 3)  # places of the words of the second kind of gram
-WINDOW = 8
 COMMON_ITEMS = 4  # items that share a gram before it counts as a heading
-RARE = 100  # documents in which a gram is rare whatever its item's others are
-FEW = 2  # stretches in which a gram is so rare that it makes a pair alone
-TIMES_USUAL = 4  # times the item's median count up to which a gram is no more common than usual
 REACHES = (64, 512, 4096)  # words; longer items have a class of their own
 TABLE_BITS = 24
 MIN_SCORE = 0.4
@@ -76,7 +71,8 @@ def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_grams(items: DataFrame, n: int) -> DataFrame:
-    """``(item_id, place, gram, words)``: all n-grams of all items, by place, with the item's length.
+    """``(item_id, place, last, gram, words)``: all n-grams of all items, by the places of their first and
+    last words, with the item's length.
 
     Items of the same id stand for one item with several texts.
     """
@@ -87,13 +83,17 @@ def item_grams(items: DataFrame, n: int) -> DataFrame:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text)
                 grams, places = gram_hashes(words, n)
-                parts.append((np.full(len(grams), key), places, grams, np.full(len(grams), len(words))))
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 4
+                size = min(n, len(words))
+                in_a_row = np.arange(len(grams)) <= len(words) - size
+                last = places + np.where(in_a_row, size - 1, SKIPPING[-1])
+                parts.append((np.full(len(grams), key), places, last, grams, np.full(len(grams), len(words))))
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 5
             columns = [c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64) for c in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["item_id", "place", "gram", "words"])
+            names = ["item_id", "place", "last", "gram", "words"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     rows = items.where("item_id is not null").select(F.col("item_id").cast("long"), "text")
-    return rows.mapInArrow(run, "item_id long, place long, gram long, words long")
+    return rows.mapInArrow(run, "item_id long, place long, last long, gram long, words long")
 
 
 def bit_tables(grams: DataFrame) -> list[tuple[int, np.ndarray]]:
@@ -176,22 +176,21 @@ def stretches(docs: DataFrame, tables: list[tuple[int, np.ndarray]], n: int) ->
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def seeds_of(grams: DataFrame, often: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(item_id, gram)``: the grams that join documents to items.
+def seeds_of(grams: DataFrame, n: int = NGRAM, own_share: float = MIN_SCORE) -> DataFrame:
+    """``(item_id, gram)``: the grams that join documents to items, all but those of headings.
 
-    ``often`` has in how many stretches each gram was met; a gram that none has is no help.
+    A gram of more than ``COMMON_ITEMS`` items is a heading's. It is no seed of an item of whose words
+    ``own_share`` or more lie outside of headings: a document that has none of the item's own grams does
+    not hold it. An item that is nearly all heading (a filled-in template, a repeated item) keeps them.
     """
     items = grams.groupBy("gram").agg(F.count_distinct("item_id").alias("items"))
-    met = grams.join(often, "gram").join(items, "gram")
-    # A heading stays only where an item has nothing else.
-    own = grams.join(items, "gram").groupBy("item_id").agg(F.min("items").alias("fewest"))
-    met = met.join(own, "item_id").where((F.col("items") <= COMMON_ITEMS) | (F.col("fewest") > COMMON_ITEMS))
-    usual = met.groupBy("item_id").agg(F.percentile_approx("often", 0.5).alias("usual"))
-    rare = met.join(usual, "item_id").where(F.col("often") <= F.greatest(F.lit(RARE), TIMES_USUAL * F.col("usual")))
-    places = F.sequence(F.greatest(F.lit(0), F.col("place") - (window - 1)), F.col("place"))
-    runs = met.select("item_id", "gram", "often", F.explode(places).alias("run"))
-    rarest = runs.groupBy("item_id", "run").agg(F.min_by("gram", F.struct("often", "gram")).alias("gram"))
-    return rare.select("item_id", "gram").union(rarest.select("item_id", "gram")).distinct()
+    told = grams.join(items, "gram").withColumn("heading", F.col("items") > COMMON_ITEMS)
+    in_a_row = told.where(F.col("heading") & (F.col("last") - F.col("place") < n))
+    covered = in_a_row.select("item_id", "words", F.explode(F.sequence("place", "last")).alias("at")).distinct()
+    covered = covered.groupBy("item_id", "words").agg(F.count(F.lit(1)).alias("covered"))
+    told = told.join(covered, ["item_id", "words"], "left")
+    own = F.col("words") - F.coalesce("covered", F.lit(0))
+    return told.where(~F.col("heading") | (own < own_share * F.col("words"))).select("item_id", "gram").distinct()
 
 
 def align(document: list[bytes], item: list[bytes]) -> tuple[int, int, int]:
@@ -225,6 +224,15 @@ def align(document: list[bytes], item: list[bytes]) -> tuple[int, int, int]:
     return best
 
 
+def highest_score(known: np.ndarray) -> int:
+    """What no local alignment exceeds, from whether the item has each word of the document.
+
+    Within an alignment a word of the document is either matched, and then the item's, or costs.
+    """
+    total = np.concatenate([[0], np.cumsum(np.where(known, MATCH, max(MISMATCH, GAP)))])
+    return int((total - np.minimum.accumulate(total)).max())
+
+
 def longest_run(document: list[bytes], item: list[bytes]) -> int:
     """The most words in a row that both have."""
     number: dict[bytes, int] = {}
@@ -240,13 +248,13 @@ def matches(
     docs: DataFrame,
     items: DataFrame,
     n: int = NGRAM,
-    window: int = WINDOW,
     min_score: float = MIN_SCORE,
     min_run: int = MIN_RUN,
 ) -> DataFrame:
     """``(doc_id, item_id, score, first_word, end_word)``: documents that hold an item or an edit of it.
 
-    ``score`` is that of the best local alignment over that of the item with itself, 0 to 1; rows
+    Every document that shares a gram with an item is compared with it, but for grams of headings (see
+    ``seeds_of``); what the other documents and items are plays no other part. ``score`` is that of the best local alignment over that of the item with itself, 0 to 1; rows
     from ``min_score`` on, or with ``min_run`` words in a row that are the item's, however long it
     is. An item of fewer words than a gram is found in texts that are it and nothing else. The places
     count words of the document. Null or wordless texts, null ids and empty tables give no rows; rows
@@ -255,24 +263,24 @@ def matches(
     grams = kept(item_grams(items, n))
     met = kept(stretches(docs, bit_tables(grams), n))
     hits = met.select("doc_id", "stretch", F.explode("grams").alias("gram"))
-    often = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
-    seeds = seeds_of(grams, often, window).join(often, "gram")
-    shared = hits.join(seeds, "gram").groupBy("doc_id", "stretch", "item_id")
-    shared = shared.agg(F.count(F.lit(1)).alias("seeds"), F.min("often").alias("often"))
-    lone = grams.groupBy("item_id").agg((F.count_distinct("gram") == 1).alias("lone"))  # an item with one gram has no second
-    pairs = shared.join(lone, "item_id").where((F.col("seeds") > 1) | (F.col("often") <= FEW) | F.col("lone"))
-    pairs = pairs.select("doc_id", "stretch", "item_id")
+    pairs = hits.join(seeds_of(grams, n), "gram").select("doc_id", "stretch", "item_id").distinct()
     texts = items.where("item_id is not null").select(F.col("item_id").cast("long"), F.col("text").alias("item"))
-    ready = pairs.join(met.select("doc_id", "stretch", "words"), ["doc_id", "stretch"]).join(texts, "item_id")
+    # The stretches, the longer texts, come last: they are not dealt out again with each of their items.
+    ready = pairs.join(texts, "item_id").join(met.select("doc_id", "stretch", "words"), ["doc_id", "stretch"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_item = lru_cache(1024)(lambda text: (words_of(text), frozenset(words_of(text))))
+        of_stretch = lru_cache(4)(bytes.split)
         for batch in batches:
             rows = []
             for doc, item, lo, text, test in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = words_of(test)
+                words, vocabulary = of_item(test)
                 if not words:
                     continue
-                found = text.split()
+                found = of_stretch(text)
+                known = np.fromiter(map(vocabulary.__contains__, found), bool, len(found))
+                if highest_score(known) < min(min_score * MATCH * len(words), MATCH * min_run):
+                    continue
                 score, first, end = align(found, words)
                 share = score / (MATCH * len(words))
                 # An equal run of so many words alone scores as much.
