@@ -266,3 +266,14 @@ def test_model_beats_the_mean_of_its_test_rows(spark):
     model = training.fit_boosted(train, training.TRIP_LABEL, ["trip_distance"], rounds=3)
     scores = metrics.regression_metrics(model.score(test), "prediction", training.TRIP_LABEL).first()
     assert scores["r2_score"] > 0.5
+
+
+def test_forest_rows_are_dealt_evenly(spark, monkeypatch):
+    """However the rows come, each task of the fit has its share of them, and all are there."""
+    seen, fit = [], training.Pipeline.fit
+    monkeypatch.setattr(training.Pipeline, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    rows_ = spark.range(4000).coalesce(1).selectExpr("id % 97 + 0D AS `a b`", "id AS k", "id % 7 + 0D AS y")
+    training.fit_forest(rows_, "y", ["a b"], trees=2)
+    sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 2 * spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
+    assert seen[0].exceptAll(rows_.select("a b", "y")).isEmpty() and sum(sizes) == 4000

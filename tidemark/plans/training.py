@@ -19,6 +19,7 @@ from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.split import hash_split
 from tidemark.session import cut_lineage, require_utc, use_checkpoints
 from tidemark.sources.feature_table import FeatureTable
+from tidemark.sources.tables import quoted
 
 # Features fetched for a trip, and the columns kept away from its model. Fixed values.
 PICKUP_FEATURES = ("mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip")
@@ -27,6 +28,7 @@ ROUNDED_TIMES = ("rounded_pickup_datetime", "rounded_dropoff_datetime")
 TRIP_LABEL = "fare_amount"
 SENSOR_LABEL = "mean_temp_1h"
 SENSOR_EXCLUDED = ("sensor_id", "event_time", "yyyy_mm")
+PART_ROWS = 1_000_000  # rows that a task of a forest's fit holds at most
 
 
 def rounded_trips(trips: DataFrame, direction: str = "up", view: str | None = None) -> DataFrame:
@@ -154,7 +156,14 @@ def fit_forest(
     missing: float = -1.0,
     lookups: Sequence[FeatureLookup] = (),
 ) -> ScoringModel:
-    """Random forest regression."""
+    """Random forest regression.
+
+    Each level passes over all rows for all trees, so the rows are dealt out evenly first, as the files
+    they come from are not. Rows of near labels lie together: they mostly walk through the same nodes.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    parts = max(2 * cores, -(-train.count() // PART_ROWS))
+    train = train.select(*[F.col(quoted(c)) for c in (*inputs, label)]).repartition(parts).sortWithinPartitions(quoted(label))
     forest = RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
     fitted = Pipeline(stages=[*_assembled(inputs, missing), forest]).fit(train)
     return ScoringModel(fitted, list(inputs), label, lookups)
